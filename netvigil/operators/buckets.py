@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netvigil.functions.geo import geohash
 from netvigil.functions.metrics import ordered_sum
+from netvigil.functions.predicates import word_list
 from netvigil.functions.times import bucket_start, event_ms
 from netvigil.schema import DAY, HOUR, MINUTE, SECOND
 
@@ -165,3 +166,9 @@ def with_totals_row(shown: DataFrame, label: str, numeric: Sequence[str]) -> Dat
         (F.sum(c) if shown.schema[c].dataType.typeName() == "long" else ordered_sum(c)).alias(c) for c in numeric
     ]
     return shown.rollup(label).agg(F.grouping_id().cast("int").alias("is_total"), *sums)
+
+
+def message_terms(rows: DataFrame) -> DataFrame:
+    """Number of documents whose message holds each word."""
+    words = rows.select(F.explode(word_list(F.col("message"))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("docs"))

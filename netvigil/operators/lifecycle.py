@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netvigil.functions.times import event_ms, partition_date
 from netvigil.schema import Retention
-from netvigil.sources.tables import TABLE_SCHEMA
+from netvigil.sources.tables import PARTITIONS, TABLE_SCHEMA
 
 POLICY = Retention()
+STAGED, REPLACED = "_compacting-", "_replaced-"
 NOTICE = "Índice {} será excluído por retenção de {} dias."
 
 
@@ -51,18 +53,48 @@ def retention_plan(inventory: DataFrame, policy: Retention = POLICY) -> DataFram
     return expired.select("source_index", "docs", "age_days", notice.alias("notice"))
 
 
+def _folders(spark: SparkSession, root: str):
+    """The table's file system, and a maker of paths below its root."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, lambda *parts: path("/".join([root, *parts]))
+
+
+def _names(files, folder) -> list[str]:
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
+def _restore(files, at) -> None:
+    """Puts back partitions that an interrupted swap had moved away."""
+    for kept in [name for name in _names(files, at()) if name.startswith(REPLACED)]:
+        for name in _names(files, at(kept)):
+            if not files.exists(at(name)):
+                files.rename(at(kept, name), at(name))
+        files.delete(at(kept), True)
+
+
 def compact_warm(spark: SparkSession, root: str, as_of: date, policy: Retention = POLICY) -> None:
     """Rewrites every warm partition into as few files as possible, in one job.
 
     Rebalancing sends a small partition to one file and lets Spark split one larger than the
     advisory partition size, so that no task takes in a whole large day. Only warm partitions are
-    read (a filter on the partition column) and replaced. Run it when nothing else writes to them.
+    read (a filter on the partition column). They are rewritten aside, in a folder readers skip, and
+    then swapped in one by one; the old files go last. Nothing else may write to them meanwhile.
     """
+    files, at = _folders(spark, root)
+    _restore(files, at)
+    run = uuid.uuid4().hex
+    staged, replaced = f"{STAGED}{run}", f"{REPLACED}{run}"
     table = spark.read.schema(TABLE_SCHEMA).parquet(root)
-    warm = table.where(state_of(partition_age(as_of), policy) == "warm")
-    rows = warm.hint("rebalance", "source_index")
-    writer = rows.write.partitionBy("source_index").option("compression", "zstd")
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
+    warm = table.where(state_of(partition_age(as_of), policy) == "warm").withColumn("batch", F.lit("compacted"))
+    writer = warm.hint("rebalance", "source_index").write.partitionBy(*PARTITIONS)
+    writer.option("compression", "zstd").parquet(at(staged).toString())
+    files.mkdirs(at(replaced))
+    for name in [n for n in _names(files, at(staged)) if n.startswith("source_index=")]:
+        files.rename(at(name), at(replaced, name))
+        files.rename(at(staged, name), at(name))
+    files.delete(at(staged), True)
+    files.delete(at(replaced), True)
 
 
 def retention(
@@ -77,8 +109,7 @@ def retention(
     if not apply:
         return plan
     decided = plan.collect()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, at = _folders(spark, root)
     for row in decided:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"source_index={row.source_index}"), True)
+        files.delete(at(f"source_index={row.source_index}"), True)
     return spark.createDataFrame(decided, plan.schema)

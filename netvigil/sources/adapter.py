@@ -176,3 +176,32 @@ def documents(events: DataFrame) -> DataFrame:
     return events.select(
         F.expr(f"event_id div {BATCH_SIZE}").alias("batch_id"), "event_id", ms.alias("sent_ms"), body.alias("body")
     )
+
+
+def payload_bodies(events: DataFrame) -> DataFrame:
+    """Notification bodies of every form a receiver meets: flat, nested, partial, plain text, empty."""
+    form = F.col("event_id") % 5
+    stamp = iso_millis(F.unix_millis("timestamp"))
+    note = F.col("message").alias("message")
+    flat = F.to_json(F.struct(
+        F.col("hostname").alias("monitor_name"), F.col("interface").alias("trigger_name"), "severity",
+        stamp.alias("period_start"), stamp.alias("period_end"), note,
+    ))
+    nested = F.to_json(F.struct(
+        F.struct(F.col("hostname").alias("name")).alias("monitor"),
+        F.struct(F.col("interface").alias("name")).alias("trigger"), note,
+    ))
+    body = (
+        F.when(form == 0, flat)
+        .when(form == 1, nested)
+        .when(form == 2, F.to_json(F.struct(note)))
+        .when(form == 3, F.col("message"))
+        .when(F.col("event_id") % 25 == 4, F.lit(""))
+        .otherwise(F.lit("{}"))
+    )
+    return events.select("event_id", body.alias("body"))
+
+
+def raw_clock() -> Column:
+    """The uncompressed time of a telemetry row, as its intake time."""
+    return F.timestamp_micros((F.unix_micros("timestamp") - F.lit(EPOCH_US)) * SPEEDUP + F.lit(EPOCH_US))

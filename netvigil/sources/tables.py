@@ -1,4 +1,8 @@
-"""Event, forecast and detector-result tables: Parquet in daily partitions."""
+"""Event, forecast and detector-result tables: Parquet in daily partitions.
+
+Layout of events and forecasts: ``source_index=<daily name>/batch=<name>``. A named batch can be
+written again and replaces itself; unnamed appends share one batch.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,9 @@ from netvigil.functions.predicates import not_from
 from netvigil.functions.times import daily_name, partition_date, to_ms
 from netvigil.schema import EVENT_FIELDS, EVENT_PREFIX, EVENT_SCHEMA, FORECAST_PREFIX
 
-TABLE_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("source_index", T.StringType())])
+PARTITIONS = ["source_index", "batch"]
+TABLE_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, *[T.StructField(name, T.StringType()) for name in PARTITIONS]])
+LOAD_BATCH = "load"
 
 
 def read_events(
@@ -26,7 +32,7 @@ def read_events(
     ``ingest_lag_days`` states how far an event's own date may lie from the date of its
     partition; with it, a time range also prunes partitions. Without it none is assumed.
     """
-    events = spark.read.schema(TABLE_SCHEMA).parquet(root)
+    events = spark.read.schema(TABLE_SCHEMA).parquet(root).drop("batch")
     if not include_forecast:
         events = events.where(not_from("forecast"))
     for bound, earlier in ((since, True), (until, False)):
@@ -43,13 +49,6 @@ def read_events(
     return events
 
 
-def _append(rows: DataFrame, root: str, partitions: list[str], replace: bool, max_records: int) -> None:
-    writer = rows.write.partitionBy(*partitions).option("compression", "zstd").option("maxRecordsPerFile", max_records)
-    if replace:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite" if replace else "append").parquet(root)
-
-
 def write_daily(
     events: DataFrame,
     root: str,
@@ -70,15 +69,18 @@ def write_daily(
     ms = F.unix_millis(ingest_time) if isinstance(ingest_time, Column) else F.lit(to_ms(ingest_time))
     fields = [name for name in EVENT_FIELDS if name in events.columns]
     rows = events.withColumn("_index", daily_name(prefix, ms)).select(
-        *[F.col(name).cast(EVENT_SCHEMA[name].dataType) for name in fields], F.col("_index").alias("source_index")
+        *[F.col(name).cast(EVENT_SCHEMA[name].dataType) for name in fields],
+        F.col("_index").alias("source_index"),
+        F.lit(batch or LOAD_BATCH).alias("batch"),
     )
     if rebalance:
         rows = rows.hint("rebalance", "source_index")
+    writer = rows.write.partitionBy(*PARTITIONS).option("compression", "zstd")
+    writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if batch is None:
-        _append(rows, root, ["source_index"], False, max_records_per_file)
+        writer.mode("append").parquet(root)
     else:
-        rows = rows.withColumn("batch", F.lit(batch))
-        _append(rows, root, ["source_index", "batch"], True, max_records_per_file)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
 def write_forecast(points: DataFrame, root: str, run_time: datetime | int, batch: str | None = None) -> None:
@@ -86,6 +88,15 @@ def write_forecast(points: DataFrame, root: str, run_time: datetime | int, batch
     write_daily(points.select("timestamp", "hostname", "utilization_pct"), root, run_time, FORECAST_PREFIX, batch)
 
 
-def write_detector_results(results: DataFrame, root: str) -> None:
-    """Appends scored windows, each detector in a partition of its own."""
-    _append(results, root, ["detector"], False, 0)
+def detector_path(root: str, detector: str) -> str:
+    return f"{root}/detector={detector}"
+
+
+def write_detector_results(results: DataFrame, root: str, detector: str) -> None:
+    """Appends scored windows to the detector's own result table."""
+    rows = results.drop("detector").write.option("compression", "zstd")
+    rows.mode("append").parquet(detector_path(root, detector))
+
+
+def read_detector_results(spark: SparkSession, root: str, detector: str) -> DataFrame:
+    return spark.read.option("basePath", root).parquet(detector_path(root, detector))

@@ -112,7 +112,11 @@ def monitor_stream(
 
 
 def throttle_stream(ticks: DataFrame, monitor: Monitor) -> DataFrame:
-    """Firing ticks that send; the time until which a monitor is held is kept as state."""
+    """Firing ticks that send; the time until which a monitor is held is kept as state.
+
+    ``ticks`` follows the table that the monitor's closed ticks are appended to: Spark takes no
+    arbitrary state behind an aggregation of the same query.
+    """
     fired = ticks.where("fired").select(F.lit(monitor.name).alias("monitor"), "tick")
     return fired.groupBy("monitor").applyInPandasWithState(
         state.throttler(monitor.throttle_ms), "monitor string, tick bigint", "until bigint", "append", "NoTimeout"
@@ -120,7 +124,10 @@ def throttle_stream(ticks: DataFrame, monitor: Monitor) -> DataFrame:
 
 
 def detect_stream(features: DataFrame, detector: Detector, settings: ForestSettings = FOREST) -> DataFrame:
-    """Scores of newly closed windows, equal to the batch scores; each entity keeps its recent windows."""
+    """Scores of newly closed windows, equal to the batch scores; each entity keeps its recent windows.
+
+    ``features`` follows the table that the closed windows are appended to.
+    """
     scorer = state.window_scorer(
         forest.score_windows,
         [m.name for m in detector.metrics],
