@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 
 from netvigil.functions.times import moment, to_ms
 
-WORD_BREAK = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]+"
 
 
 def from_time(as_of: datetime | int, back_ms: int) -> Column:
@@ -70,16 +70,15 @@ def geo_box(south: float, west: float, north: float, east: float) -> Column:
 
 
 def word_list(text: Column) -> Column:
-    """Distinct lower-cased words of a text."""
-    words = F.split(F.lower(text), WORD_BREAK)
-    return F.array_distinct(F.filter(words, lambda word: word != ""))
+    """Lower-cased words of a text, repeats included."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def message_matches(terms: Iterable[str], match_all: bool = False) -> Column:
     """Message holds any (or all) of the words."""
+    wanted = F.array(*[F.lit(term.lower()) for term in terms])
     words = word_list(F.col("message"))
-    hits = [F.array_contains(words, t.lower()) for t in terms]
-    return reduce(lambda a, b: a & b if match_all else a | b, hits)
+    return F.size(F.array_except(wanted, words)) == 0 if match_all else F.arrays_overlap(words, wanted)
 
 
 def fires(condition: str) -> Column:

@@ -170,5 +170,5 @@ def with_totals_row(shown: DataFrame, label: str, numeric: Sequence[str]) -> Dat
 
 def message_terms(rows: DataFrame) -> DataFrame:
     """Number of documents whose message holds each word."""
-    words = rows.select(F.explode(word_list(F.col("message"))).alias("word"))
+    words = rows.select(F.explode(F.array_distinct(word_list(F.col("message")))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("docs"))

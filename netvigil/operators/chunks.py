@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from netvigil.functions.times import bucket_start
 
@@ -20,20 +20,29 @@ def overlapping_chunks(rows: DataFrame, key: str, width: int, lookback: int) ->
     return rows.withColumn("chunk", F.explode(chunks)).withColumn("carried", F.col("chunk") > F.col(key))
 
 
-def running_total(rows: DataFrame, key: str, totals: dict[str, str], width: int) -> DataFrame:
-    """Running sums in ``key`` order over the whole table, in two levels.
+def running_total(rows: DataFrame, key: str, totals: dict[str, str], width: int, levels: int = 2) -> DataFrame:
+    """Running sums in ``key`` order over the whole table; ``totals`` maps new columns to summed ones.
 
-    Sums run within stretches of ``width`` keys; the sums of the earlier stretches are
-    added from a table with one row per stretch.
+    Sums run within stretches of ``width`` keys. What earlier stretches add up to is found the
+    same way from one row per stretch, ``levels`` times over, so that only the last and shortest
+    table (one row per ``width ** (2 ** levels - 1)`` keys) is summed in a single task.
     """
+    plain = rows.columns
+    if levels == 0:
+        upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.select(*plain, *[F.sum(c).over(upto).alias(name) for name, c in totals.items()])
     chunked = rows.withColumn("_chunk", bucket_start(F.col(key).cast("bigint"), width))
     inside = Window.partitionBy("_chunk").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = chunked.groupBy("_chunk").agg(*[F.sum(c).alias(f"_{name}") for name, c in totals.items()])
-    offsets = sums.select(
-        "_chunk", *[F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in totals]
-    )
     local = chunked.select("*", *[F.sum(c).over(inside).alias(name) for name, c in totals.items()])
-    joined = local.join(offsets, "_chunk")
-    plain: list[str | Column] = [c for c in rows.columns]
-    return joined.select(*plain, *[(F.col(name) + F.col(f"_{name}")).alias(name) for name in totals])
+    sums = chunked.groupBy("_chunk").agg(*[F.sum(c).alias(f"_own_{name}") for name, c in totals.items()])
+    upto = running_total(
+        sums.withColumnRenamed("_chunk", "_start"), "_start",
+        {f"_upto_{name}": f"_own_{name}" for name in totals}, width * width, levels - 1,
+    )
+    earlier = upto.select(
+        F.col("_start").alias("_chunk"),
+        *[(F.col(f"_upto_{name}") - F.col(f"_own_{name}")).alias(f"_before_{name}") for name in totals],
+    )
+    return local.join(earlier, "_chunk").select(
+        *plain, *[(F.col(name) + F.col(f"_before_{name}")).alias(name) for name in totals]
+    )

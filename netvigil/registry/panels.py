@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.functions.predicates import term
-from netvigil.functions.times import event_ms
+from netvigil.functions.times import daily_name, event_ms
 from netvigil.operators.forecast import forecast, forecast_union
 from netvigil.plans import panels
 from netvigil.registry.aggregations import AUTO, geohash_sql, other_sql
@@ -18,7 +18,7 @@ from netvigil.registry.common import (
     points_sql,
     register,
 )
-from netvigil.schema import FORECAST_PREFIX
+from netvigil.schema import EVENT_PREFIX, FORECAST_PREFIX
 from netvigil.sources.adapter import telemetry
 
 
@@ -151,7 +151,8 @@ def panel_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("utilization_pct").cast("decimal(8,2)").alias("utilization_pct"),
         F.lit(f"{FORECAST_PREFIX}2024.01.01").alias("source_index"),
     )
-    return panels.forecast_panel(forecast_union(telemetry(spark, sf_dir), predicted))
+    actual = telemetry(spark, sf_dir).withColumn("source_index", daily_name(EVENT_PREFIX, event_ms()))
+    return panels.forecast_panel(forecast_union(actual, predicted))
 
 
 @register(

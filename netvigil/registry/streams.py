@@ -1,7 +1,7 @@
 """Continuous jobs, each run once over all the data at hand.
 
-Every run takes the whole input as one micro-batch, so no result depends on the
-order in which files are listed.
+Runs with a watermark take the whole input as one micro-batch, so no result depends on
+the order in which files are listed; ingest, which has none, takes it in bounded pieces.
 """
 
 from collections.abc import Callable
@@ -21,10 +21,13 @@ from netvigil.sources.tables import read_events, write_daily
 from netvigil.streaming import jobs
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, max_bytes: str | None = None) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    reader = spark.readStream.schema(schema)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     # A stream's path must be a folder or a pattern; this one matches just the table, file or folder.
-    return from_events(spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet"))
+    return from_events(reader.parquet(f"{sf_dir}/[e]vents.parquet"))
 
 
 def run_append(spark: SparkSession, stream: DataFrame, label: str, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
@@ -49,7 +52,7 @@ def run_chain(spark: SparkSession, first: DataFrame, second: Callable[[DataFrame
 FROM (SELECT reason, CASE WHEN reason IS NULL THEN severity END AS severity FROM docs) GROUP BY ALL""",
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = documents(event_stream(spark, sf_dir)).select("body", "sent_ms")
+    raw = documents(event_stream(spark, sf_dir, max_bytes="1t")).select("body", "sent_ms")
     root, refused, stats, checkpoint = (
         new_path(spark, f"ingest-{part}") for part in ("events", "refused", "stats", "checkpoint")
     )

@@ -83,7 +83,7 @@ class ForestSettings:
     refresh: int = 16
     warmup: int = 8
     tree_blocks: int = 5
-    chunk: int = 256
+    chunk: int = 1024
 
 
 @dataclass(frozen=True)

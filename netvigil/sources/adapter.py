@@ -70,7 +70,7 @@ def _raw_bound(ms: int, up: bool) -> datetime:
 def from_events(
     raw: DataFrame, since: datetime | int | None = None, until: datetime | int | None = None
 ) -> DataFrame:
-    """Telemetry rows of the ``events`` table: the event fields, ``event_id`` and ``source_index``.
+    """Telemetry rows of the ``events`` table: the event fields and ``event_id``.
 
     ``since`` and ``until`` (both included, in compressed time) reach the scan as bounds on ``ts``.
     """
@@ -112,7 +112,6 @@ def from_events(
         _hundredths(by_kind(9500 + 4 * k, 8800 + 12 * k, 1000 + 35 * k), 2).alias("utilization_pct"),
         _hundredths(by_kind(50000 + 1000 * k, 20000 + 600 * k, 100 + 49 * k), 2).alias("latency_ms"),
         _hundredths(by_kind(50000 + 500 * k, 5000 + 200 * k, 5 * k), 3).alias("packet_loss_pct"),
-        F.concat(F.lit(EVENT_PREFIX), utc_text(F.expr("ts_us div 1000"), "yyyy.MM.dd")).alias("source_index"),
     )
 
 

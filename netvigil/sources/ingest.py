@@ -7,41 +7,50 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netvigil.operators.chunks import running_total
 from netvigil.schema import EVENT_FIELDS, KEYWORD_LIMIT, LOCATION_TYPE, NUMERIC_FIELDS
 
-# Shape of an ISO date with an optional time and zone; a time without a zone is UTC.
-_DATE = r"[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?"
-_TIME = r"[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?)?"
-_ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)"
-_ISO = rf"^({_DATE}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T{_TIME}{_ZONE}?)$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Shapes of an ISO date, optional time and optional zone; of a number; of a pair of them.
+DATE_TIME = (
+    r"^([0-9]{4}(?:-[0-9]{2}(?:-[0-9]{2}(?=$|T))?)?(?=$|T))"
+    r"(?:T([0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,9})?)?)?)(Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?$"
+)
+FULL_DATE_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+_NUMBER = r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
+NUMBER = f"^{_NUMBER}$"
+NUMBER_PAIR = f"^{_NUMBER},{_NUMBER}$"
 
 
 def parse_timestamp(text: Column) -> Column:
-    """ISO-8601 date or date-time, else epoch milliseconds; null for anything else."""
-    day = F.concat(text, F.substring(F.lit("0000-01-01"), F.length(text) + 1, F.lit(10)), F.lit("T00:00:00Z"))
-    hour = F.regexp_replace(text, r"T([0-9]{2})(?=$|Z|[+-])", "T$1:00")
-    minute = F.regexp_replace(hour, r"T([0-9]{2}:[0-9]{2})(?=$|Z|[+-])", "T$1:00")
-    dotted = F.regexp_replace(minute, ",", ".")
-    zoned = F.when(dotted.rlike(_ZONE + "$"), dotted).otherwise(F.concat(dotted, F.lit("Z")))
-    iso = F.try_to_timestamp(F.when(text.contains("T"), zoned).otherwise(day))
-    millis = F.timestamp_millis(text.try_cast("bigint"))
-    return F.when(text.rlike(_ISO), iso).when(text.rlike(r"^-?[0-9]+$"), millis)
+    """ISO-8601 date or date-time, UTC where no zone is given, else epoch milliseconds; else null.
+
+    The form devices send is cast as it is; shorter ones are first completed.
+    """
+    day, time, zone = (F.regexp_extract(text, DATE_TIME, group) for group in (1, 2, 3))
+    completed = F.concat(
+        day, F.substring(F.lit("0000-01-01"), F.length(day) + 1, F.lit(10)),
+        F.lit("T"), F.translate(time, ",", "."), F.substring(F.lit("00:00:00"), F.length(time) + 1, F.lit(8)),
+        F.coalesce(F.nullif(zone, F.lit("")), F.lit("Z")),
+    )
+    whole_days = (F.length(day) == 10) | (time == "")
+    return (
+        F.when(text.rlike(FULL_DATE_TIME), text.try_cast("timestamp"))
+        .when(text.rlike(DATE_TIME), F.when(whole_days, completed.try_cast("timestamp")))
+        .when(text.rlike("^-?[0-9]+$"), F.timestamp_millis(text.try_cast("bigint")))
+    )
 
 
 def parse_number(text: Column) -> Column:
     """Single-precision number, also from quoted text; null for anything else."""
-    return F.when(F.trim(text).rlike(_NUMBER), F.trim(text).try_cast("float"))
+    return F.when(text.rlike(NUMBER), text.try_cast("float"))
 
 
 def parse_location(text: Column) -> Column:
     """``"lat,lon"`` as a struct; null when malformed or off the globe."""
-    parts = F.split(text, ",")
-    lat, lon = F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1))
-    lat_value, lon_value = lat.try_cast("double"), lon.try_cast("double")
-    valid = (
-        (F.size(parts) == 2) & lat.rlike(_NUMBER) & lon.rlike(_NUMBER)
-        & lat_value.between(-90.0, 90.0) & lon_value.between(-180.0, 180.0)
-    )
-    return F.when(valid, F.struct(lat_value.alias("lat"), lon_value.alias("lon"))).cast(LOCATION_TYPE)
+    lat = F.substring_index(text, ",", 1).try_cast("double")
+    lon = F.substring_index(text, ",", -1).try_cast("double")
+    valid = text.rlike(NUMBER_PAIR) & lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+    return F.when(valid, F.struct(lat.alias("lat"), lon.alias("lon"))).cast(LOCATION_TYPE)
+
+
+TEXT_DOCUMENT = ", ".join(f"{name} string" for name in EVENT_FIELDS)
 
 
 def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
@@ -51,25 +60,25 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     Absent fields are allowed, unknown ones are not.
     """
     carried = raw.columns
-    read = raw.withColumn("_doc", F.from_json(body, "map<string,string>"))
-    field = {name: F.col("_doc")[name] for name in EVENT_FIELDS}
-    parsed = {name: field[name] for name in EVENT_FIELDS}
-    parsed["timestamp"] = parse_timestamp(field["timestamp"])
-    parsed["location"] = parse_location(field["location"])
-    parsed |= {name: parse_number(field[name]) for name in NUMERIC_FIELDS}
+    known = F.array(*[F.lit(name) for name in EVENT_FIELDS])
+    read = raw.select(
+        "*", F.from_json(body, TEXT_DOCUMENT).alias("_doc"), F.json_object_keys(body).alias("_keys")
+    ).withColumn("_unknown", F.size(F.array_except("_keys", known)) > 0)
+    parsers = {"timestamp": parse_timestamp, "location": parse_location, **dict.fromkeys(NUMERIC_FIELDS, parse_number)}
+    text = {name: F.col("_doc")[name] for name in EVENT_FIELDS}
     typed = read.select(
-        *carried, "_doc", *[field[name].alias(f"_{name}") for name in EVENT_FIELDS],
-        *[parsed[name].alias(name) for name in EVENT_FIELDS],
+        *carried,
+        *[parsers.get(name, lambda c: c)(text[name]).alias(name) for name in EVENT_FIELDS],
+        F.when(F.col("_keys").isNull(), "not_an_object").when(F.col("_unknown"), "unknown_field").alias("_refused"),
+        *[text[name].isNotNull().alias(f"_has_{name}") for name in parsers],
     )
 
     def unparsed(name: str) -> Column:
-        return F.col(f"_{name}").isNotNull() & F.col(name).isNull()
+        return F.col(f"_has_{name}") & F.col(name).isNull()
 
-    unknown = F.array_except(F.map_keys("_doc"), F.array(*[F.lit(name) for name in EVENT_FIELDS]))
     bad_number = unparsed(NUMERIC_FIELDS[0]) | unparsed(NUMERIC_FIELDS[1]) | unparsed(NUMERIC_FIELDS[2])
     reason = (
-        F.when(F.col("_doc").isNull(), "not_an_object")
-        .when(F.size(unknown) > 0, "unknown_field")
+        F.when(F.col("_refused").isNotNull(), F.col("_refused"))
         .when(unparsed("timestamp"), "bad_timestamp")
         .when(bad_number, "bad_number")
         .when(unparsed("location"), "bad_location")
