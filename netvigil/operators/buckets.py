@@ -65,10 +65,10 @@ def interval_for(span_ms: int, buckets: int = AUTO_BUCKETS) -> int:
 
 
 def with_date_bucket(rows: DataFrame, interval: Column | int | str = "auto") -> DataFrame:
-    """Adds ``key``; "auto" derives the interval from the rows."""
+    """Adds ``key``, leaving out rows without a time; "auto" derives the interval from the rows."""
     if isinstance(interval, str):
         interval = auto_interval(rows)
-    return rows.withColumn("key", bucket_start(event_ms(), interval))
+    return rows.withColumn("key", bucket_start(event_ms(), interval)).where(F.col("key").isNotNull())
 
 
 def date_histogram(rows: DataFrame, interval: Column | int | str, metrics: Sequence[Column]) -> DataFrame:
@@ -77,9 +77,15 @@ def date_histogram(rows: DataFrame, interval: Column | int | str, metrics: Seque
 
 
 def bucket_keys(grouped: DataFrame, interval: int) -> DataFrame:
-    """Every bucket from the first key to the last, built in day-long steps."""
+    """Every bucket from the first key to the last, built in day-long steps.
+
+    The bounds are taken from whole rows, key first: reading the same columns as the caller lets
+    Spark reuse the caller's shuffle instead of scanning again for the keys alone.
+    """
+    row = F.struct("key", *[c for c in grouped.columns if c != "key"])
     width, step = F.lit(interval).cast("bigint"), F.lit(max(interval, DAY - DAY % interval)).cast("bigint")
-    bounds = grouped.agg(F.min("key").alias("first"), F.max("key").alias("last")).where(F.col("first").isNotNull())
+    bounds = grouped.agg(F.min(row)["key"].alias("first"), F.max(row)["key"].alias("last"))
+    bounds = bounds.where(F.col("first").isNotNull())
     spans = bounds.select("last", F.explode(F.sequence("first", "last", step)).alias("start"))
     stop = F.least(F.col("last"), F.col("start") + step - width)
     return spans.select(F.explode(F.sequence("start", stop, width)).alias("key"))
@@ -110,11 +116,14 @@ def terms_then_date(
     """Metrics per term and date bucket, for the ``size`` terms with the most rows.
 
     Terms are ranked by adding up the bucket counts; at most ``size`` of them are joined back.
+    The ranking reads all the metrics (as a tie-break that never decides), so that both
+    sides of the join need the same shuffle and events are scanned once.
     """
     bucketed = with_date_bucket(rows.where(F.col(term).isNotNull()), interval)
     grouped = bucketed.groupBy(term, "key").agg(F.count("*").alias("count"), *metrics)
-    ranked = grouped.groupBy(term).agg(F.sum("count").alias("_docs"))
-    kept = ranked.orderBy(F.desc("_docs"), F.asc(term)).limit(size)
+    row = F.struct("key", *[c for c in grouped.columns if c not in (term, "key")])
+    ranked = grouped.groupBy(term).agg(F.sum("count").alias("_docs"), F.max(row).alias("_row"))
+    kept = ranked.orderBy(F.desc("_docs"), F.asc(term), F.asc("_row")).limit(size)
     return grouped.join(kept, term, "left_semi")
 
 

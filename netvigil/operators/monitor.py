@@ -53,7 +53,7 @@ def firing_ticks(events: DataFrame, monitor: Monitor, include_forecast: bool = F
 def throttle(
     fired: DataFrame, interval_ms: int, throttle_ms: int, by: tuple[str, ...] = ("monitor",), chunk_ms: int = DAY
 ) -> DataFrame:
-    """The ticks that send: the first, then each one at least ``throttle_ms`` after the last sent.
+    """The rows of the ticks that send: the first, then each one at least ``throttle_ms`` after the last sent.
 
     Ticks lie on a grid, so what a chunk of time does depends on one of a few entry states:
     how many grid steps into it the throttle still holds. Every chunk is folded for all of them;
@@ -65,15 +65,18 @@ def throttle(
     steps = max(1, -(-throttle_ms // interval_ms))
     hold = F.lit(steps * interval_ms).cast("bigint")
     interval = F.lit(interval_ms).cast("bigint")
-    tick, chunk = F.col("tick"), F.col("chunk")
+    chunk = F.col("chunk")
+    row = F.struct("tick", *[c for c in fired.columns if c != "tick" and c not in by])
     chunks = (
-        fired.withColumn("chunk", bucket_start(tick, chunk_ms))
+        fired.withColumn("chunk", bucket_start(F.col("tick"), chunk_ms))
         .groupBy(*by, "chunk")
-        .agg(F.array_sort(F.collect_set("tick")).alias("ticks"))
+        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
     )
 
     def held_until(start: Column) -> Column:
-        return F.aggregate("ticks", start, lambda until, t: F.when(t >= until, t + hold).otherwise(until))
+        return F.aggregate(
+            "rows", start, lambda until, r: F.when(r["tick"] >= until, r["tick"] + hold).otherwise(until)
+        )
 
     states = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda j: held_until(chunk + j * interval))
     exits = chunks.select(*by, F.struct(chunk, states.alias("exits")).alias("step"))
@@ -95,21 +98,19 @@ def throttle(
         *by, F.explode(F.aggregate("steps", nothing, advance, lambda state: state["starts"])).alias("began")
     ).select(*by, "began.chunk", "began.entry")
 
-    def send(state: Column, t: Column) -> Column:
-        free = t >= state["until"]
-        sent = F.when(free, F.concat(state["sent"], F.array(t))).otherwise(state["sent"])
-        return F.struct(F.when(free, t + hold).otherwise(state["until"]).alias("until"), sent.alias("sent"))
+    def send(state: Column, r: Column) -> Column:
+        free = r["tick"] >= state["until"]
+        sent = F.when(free, F.concat(state["sent"], F.array(r))).otherwise(state["sent"])
+        return F.struct(F.when(free, r["tick"] + hold).otherwise(state["until"]).alias("until"), sent.alias("sent"))
 
-    idle = F.struct(F.col("entry").alias("until"), F.array().cast("array<bigint>").alias("sent"))
-    sends = F.aggregate("ticks", idle, send, lambda state: state["sent"])
-    return chunks.join(entries, [*by, "chunk"]).select(*by, F.explode(sends).alias("tick"))
+    idle = F.struct(F.col("entry").alias("until"), F.slice("rows", 1, 0).alias("sent"))
+    sends = F.aggregate("rows", idle, send, lambda state: state["sent"])
+    return chunks.join(entries, [*by, "chunk"]).select(*by, F.inline(sends)).select(*fired.columns)
 
 
 def sent_ticks(events: DataFrame, monitor: Monitor, include_forecast: bool = False) -> DataFrame:
     """Firing ticks that survive the throttle, with their metrics."""
-    fired = firing_ticks(events, monitor, include_forecast)
-    sends = throttle(fired.select("monitor", "tick"), monitor.interval_ms, monitor.throttle_ms)
-    return fired.join(sends, ["monitor", "tick"])
+    return throttle(firing_ticks(events, monitor, include_forecast), monitor.interval_ms, monitor.throttle_ms)
 
 
 def fill_template(template: str) -> Column:

@@ -47,7 +47,7 @@ def rollover_due(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("compact_warm", "SELECT 'telecom-noc-' || raw_day AS source_index, hostname, count(*) AS docs FROM ev GROUP BY ALL")
 def compact_warm(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "compacted")
-    write_daily(telemetry(spark, sf_dir), root, raw_clock())
+    write_daily(telemetry(spark, sf_dir), root, raw_clock(), rebalance=True)
     ops.compact_warm(spark, root, AS_OF)
     return read_events(spark, root).groupBy("source_index", "hostname").agg(F.count("*").alias("docs"))
 

@@ -21,7 +21,10 @@ from netvigil.sources.tables import read_events, write_daily
 from netvigil.streaming import jobs
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_bytes: str | None = None) -> DataFrame:
+INGEST_BYTES = 1 << 40
+
+
+def event_stream(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     reader = spark.readStream.schema(schema)
     if max_bytes:
@@ -52,7 +55,7 @@ def run_chain(spark: SparkSession, first: DataFrame, second: Callable[[DataFrame
 FROM (SELECT reason, CASE WHEN reason IS NULL THEN severity END AS severity FROM docs) GROUP BY ALL""",
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = documents(event_stream(spark, sf_dir, max_bytes="1t")).select("body", "sent_ms")
+    raw = documents(event_stream(spark, sf_dir, max_bytes=INGEST_BYTES)).select("body", "sent_ms")
     root, refused, stats, checkpoint = (
         new_path(spark, f"ingest-{part}") for part in ("events", "refused", "stats", "checkpoint")
     )

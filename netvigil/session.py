@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,7 +19,12 @@ SESSION_CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("netvigil")
-    settings = {**SESSION_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
+    settings = {
+        **SESSION_CONF,
+        "spark.driver.memory": "16g",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        **conf,
+    }
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -44,3 +49,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/netvigil/{label}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Writes rows to the shared folder now and reads them back: for a result that is used several times."""
+    path = new_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -85,7 +85,7 @@ def from_events(
         "event_id",
         "user_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", "-?[0-9]+", 0).try_cast("int").alias("k"),
         (F.lit(EPOCH_US) + elapsed_us).alias("ts_us"),
     )
     minute_of_hour = F.pmod(F.expr("ts_us div 60000000"), F.lit(60))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netvigil.operators.chunks import running_total
 from netvigil.schema import EVENT_FIELDS, KEYWORD_LIMIT, LOCATION_TYPE, NUMERIC_FIELDS
+from netvigil.session import stored
 
 # Shapes of an ISO date, optional time and optional zone; of a number; of a pair of them.
 DATE_TIME = (
@@ -63,15 +64,18 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     known = F.array(*[F.lit(name) for name in EVENT_FIELDS])
     read = raw.select(
         "*", F.from_json(body, TEXT_DOCUMENT).alias("_doc"), F.json_object_keys(body).alias("_keys")
-    ).withColumn("_unknown", F.size(F.array_except("_keys", known)) > 0)
+    )
     parsers = {"timestamp": parse_timestamp, "location": parse_location, **dict.fromkeys(NUMERIC_FIELDS, parse_number)}
     text = {name: F.col("_doc")[name] for name in EVENT_FIELDS}
-    typed = read.select(
-        *carried,
+    unknown = F.size(F.array_except("_keys", known)) > 0
+    fields = F.struct(
         *[parsers.get(name, lambda c: c)(text[name]).alias(name) for name in EVENT_FIELDS],
-        F.when(F.col("_keys").isNull(), "not_an_object").when(F.col("_unknown"), "unknown_field").alias("_refused"),
+        F.when(F.col("_keys").isNull(), "not_an_object").when(unknown, "unknown_field").alias("_refused"),
         *[text[name].isNotNull().alias(f"_has_{name}") for name in parsers],
     )
+    # One struct through a generator: a filter on the outcome would otherwise be pushed below, and
+    # every document parsed again for each field that the filter looks at.
+    typed = read.select(*carried, F.inline(F.array(fields)))
 
     def unparsed(name: str) -> Column:
         return F.col(f"_has_{name}") & F.col(name).isNull()
@@ -119,5 +123,8 @@ def with_running_stats(batches: DataFrame, batches_per_chunk: int = 4096) -> Dat
 
 
 def ingest_stats(raw: DataFrame, body: str = "body") -> DataFrame:
-    """One row per ``batch_id``: counts, running totals, rate and whether any event was CRITICAL."""
-    return with_running_stats(batch_counts(parse_documents(raw, body)))
+    """One row per ``batch_id``: counts, running totals, rate and whether any event was CRITICAL.
+
+    The counts are stored before the running totals read them, so documents are parsed once.
+    """
+    return with_running_stats(stored(batch_counts(parse_documents(raw, body)), "batch-counts"))
