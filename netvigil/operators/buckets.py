@@ -117,14 +117,15 @@ def terms_then_date(
 
     Terms are ranked by adding up the bucket counts; at most ``size`` of them are joined back.
     The ranking reads all the metrics (as a tie-break that never decides), so that both
-    sides of the join need the same shuffle and events are scanned once.
+    sides of the join need the same shuffle and events are scanned once. (A semi join would be
+    pushed below the aggregation, and undo that.)
     """
     bucketed = with_date_bucket(rows.where(F.col(term).isNotNull()), interval)
     grouped = bucketed.groupBy(term, "key").agg(F.count("*").alias("count"), *metrics)
     row = F.struct("key", *[c for c in grouped.columns if c not in (term, "key")])
     ranked = grouped.groupBy(term).agg(F.sum("count").alias("_docs"), F.max(row).alias("_row"))
     kept = ranked.orderBy(F.desc("_docs"), F.asc(term), F.asc("_row")).limit(size)
-    return grouped.join(kept, term, "left_semi")
+    return grouped.join(kept.select(term), term)
 
 
 def top_per_bucket(grouped: DataFrame, term: str, order_by: str, size: int) -> DataFrame:
