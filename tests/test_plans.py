@@ -12,7 +12,7 @@ BATCH = sorted(name for name in QUERIES if not name.startswith("stream"))
 
 def executed_plan(frame):
     frame.collect()
-    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    return frame._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", BATCH)
