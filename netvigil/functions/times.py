@@ -52,4 +52,4 @@ def daily_name(prefix: str, ms: Column) -> Column:
 
 def partition_date(source_index: Column) -> Column:
     """Date at the end of a daily partition name."""
-    return F.to_date(F.regexp_replace(F.right(source_index, F.lit(10)), "\\.", "-"))
+    return F.translate(F.right(source_index, F.lit(10)), ".", "-").try_cast("date")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netvigil.functions.metrics import aggregates, clamp
@@ -15,9 +14,6 @@ from netvigil.operators import forest
 from netvigil.operators.chunks import overlapping_chunks
 from netvigil.schema import Detector, ForestSettings
 
-# Executors need not have this package installed: the helper travels with the task.
-cloudpickle.register_pickle_by_value(forest)
-
 FOREST = ForestSettings()
 WHOLE_STREAM = "all"
 GRADE_WINDOWS = 120

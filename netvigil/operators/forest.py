@@ -8,10 +8,15 @@ sibling's size to its own side's size, divided by the size of the sample.
 
 from __future__ import annotations
 
+import sys
 import zlib
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
+
+# Executors need not have this package installed: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCORE_UNIT = 1_000_000
 

@@ -6,7 +6,6 @@ expressions with the batch operators; the start functions attach sinks.
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -21,9 +20,6 @@ from netvigil.sources.ingest import batch_counts, parse_documents
 from netvigil.sources.tables import read_events, write_daily, write_forecast
 from netvigil.streaming import state
 
-# Executors need not have this package installed: the helpers travel with the task.
-cloudpickle.register_pickle_by_value(state)
-
 
 def _seconds(ms: int) -> str:
     return f"{ms // 1000} seconds"

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
+
+# Executors need not have this package installed: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def throttler(throttle_ms: int) -> Callable:

@@ -157,3 +157,20 @@ def test_a_hot_entity_is_split(spark):
     assert len(scores_of(detect.rcf_score(shingled, CRITICAL_SURGE, settings))) == 397
     with pytest.raises(ValueError):
         detect.rcf_score(shingled, CRITICAL_SURGE, replace(settings, trees=5))
+
+
+def test_helpers_travel_without_the_package(tmp_path):
+    """Executors that lack this package can run the functions sent to them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from netvigil.streaming import state
+
+    sent = (forest.score_group, state.throttler(MINUTE), state.window_scorer(
+        forest.score_windows, ["a"], 2, MINUTE, 1, 1.0, trees=1, sample=4, history=8, refresh=4, warmup=2))
+    (tmp_path / "functions").write_bytes(cloudpickle.dumps(sent))
+    code = "import pickle,sys; pickle.load(open('functions','rb')); assert 'netvigil' not in sys.modules; print('loaded')"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "loaded", done.stderr
