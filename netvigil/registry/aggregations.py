@@ -12,14 +12,10 @@ from netvigil.registry.common import (
     LOSS,
     MINUTE,
     UTIL,
-    event_table,
-    fit_sql,
     history_sql,
-    points_sql,
     register,
 )
-from netvigil.sources.adapter import telemetry
-from netvigil.sources.tables import read_events
+from netvigil.sources.adapter import raw_daily, telemetry
 
 
 @register("agg_count", "SELECT count(*) AS docs FROM ev")
@@ -213,14 +209,11 @@ def geohash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "terms_source_index",
-    history_sql(str(END_MS)) + fit_sql() + points_sql() + """
-, g AS (SELECT 'telecom-noc-' || raw_day AS source_index, count(*) AS count FROM ev GROUP BY 1
-  UNION ALL SELECT 'telecom-noc-forecast-2024.01.01', count(*) FROM points)
-SELECT * FROM g WHERE count > 0 ORDER BY count DESC, source_index LIMIT 5""",
+    """, g AS (SELECT 'telecom-noc-' || raw_day AS source_index, count(*) AS count FROM ev GROUP BY 1)
+SELECT * FROM g ORDER BY count DESC, source_index LIMIT 5""",
 )
 def terms_source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_events(spark, event_table(spark, sf_dir))
-    return buckets.terms_topn(events, "source_index", [F.count("*").alias("count")], "count", 5)
+    return buckets.terms_topn(raw_daily(spark, sf_dir), "source_index", [F.count("*").alias("count")], "count", 5)
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netvigil.operators.forecast import forecast
 from netvigil.schema import HOUR, MINUTE
-from netvigil.session import new_path
+from netvigil.session import exists, new_path
 from netvigil.sources.adapter import raw_clock, telemetry
 from netvigil.sources.tables import write_daily, write_forecast
 
@@ -128,7 +128,7 @@ def event_table(spark: SparkSession, sf_dir: str) -> str:
     Written once per application into the shared folder; queries only read it.
     """
     place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _stored:
+    if place not in _stored or not exists(spark, _stored[place]):
         root = new_path(spark, "events")
         events = telemetry(spark, sf_dir)
         write_daily(events, root, raw_clock(), rebalance=True)

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.operators import lifecycle as ops
-from netvigil.registry.common import event_table, register
+from netvigil.registry.common import register
 from netvigil.session import new_path
 from netvigil.sources.adapter import raw_clock, raw_daily, telemetry
 from netvigil.sources.tables import read_events, write_daily
@@ -55,11 +55,7 @@ def compact_warm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "retention",
     INVENTORY + """SELECT source_index, docs, age_days,
-  'Índice ' || source_index || ' será excluído por retenção de 30 dias.' AS notice FROM st WHERE state = 'delete'
-UNION ALL SELECT 'telecom-noc-forecast-2024.01.01', n, 35,
-  'Índice telecom-noc-forecast-2024.01.01 será excluído por retenção de 30 dias.'
-FROM (SELECT 15 * count(*) AS n FROM (SELECT hostname FROM ev WHERE ts_ms >= 1704106800000 GROUP BY hostname
-  HAVING count(DISTINCT ts_ms - ts_ms % 60000) >= 2)) WHERE n > 0""",
+  'Índice ' || source_index || ' será excluído por retenção de 30 dias.' AS notice FROM st WHERE state = 'delete'""",
 )
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.retention(spark, event_table(spark, sf_dir), AS_OF)
+    return ops.retention_plan(_inventory(spark, sf_dir))

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.functions.times import event_ms
 from netvigil.operators import detect
+from netvigil.operators.forecast import forecast
 from netvigil.registry.common import (
     END_MS,
+    HOUR,
     event_table,
     fit_sql,
     history_sql,
@@ -19,7 +21,13 @@ from netvigil.schema import DETECTORS, KEYWORD_LIMIT, NUMERIC_FIELDS
 from netvigil.session import new_path
 from netvigil.sources import ingest
 from netvigil.sources.adapter import documents, telemetry
-from netvigil.sources.tables import read_detector_results, read_events, write_daily, write_detector_results
+from netvigil.sources.tables import (
+    read_detector_results,
+    read_events,
+    write_daily,
+    write_detector_results,
+    write_forecast,
+)
 
 # Which documents are refused and why, as CTEs ending in ``docs``; a reason is null where accepted.
 DOCS = """, docs AS (SELECT *, event_id // 10 AS batch_id,
@@ -104,7 +112,9 @@ def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT 'telecom-noc-forecast-2024.01.01' AS source_index, hostname, ts_ms, utilization_pct FROM points",
 )
 def write_forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = read_events(spark, event_table(spark, sf_dir)).where(F.col("source_index").contains("forecast"))
+    root = new_path(spark, "forecasts")
+    write_forecast(forecast(telemetry(spark, sf_dir, since=END_MS - HOUR), END_MS), root, END_MS)
+    written = read_events(spark, root)
     utilization = F.round(F.col("utilization_pct").cast("double"), 2).alias("utilization_pct")
     return written.select("source_index", "hostname", event_ms().alias("ts_ms"), utilization)
 

@@ -56,3 +56,8 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     path = new_path(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

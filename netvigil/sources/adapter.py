@@ -124,7 +124,7 @@ def telemetry(
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry rows filed under the uncompressed day of each event, for lifecycle jobs."""
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    day = F.concat(F.lit(EVENT_PREFIX), F.date_format("ts", "yyyy.MM.dd"))
+    day = F.concat(F.lit(EVENT_PREFIX), F.translate(F.to_date("ts").cast("string"), "-", "."))
     days = raw.select("event_id", "ts", day.alias("source_index"))
     return days.withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
 

@@ -51,9 +51,6 @@ def parse_location(text: Column) -> Column:
     return F.when(valid, F.struct(lat.alias("lat"), lon.alias("lon"))).cast(LOCATION_TYPE)
 
 
-TEXT_DOCUMENT = ", ".join(f"{name} string" for name in EVENT_FIELDS)
-
-
 def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     """Adds the typed event fields, ``message_keyword`` and ``reason``.
 
@@ -62,11 +59,12 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     """
     carried = raw.columns
     known = F.array(*[F.lit(name) for name in EVENT_FIELDS])
-    read = raw.select(
-        "*", F.from_json(body, TEXT_DOCUMENT).alias("_doc"), F.json_object_keys(body).alias("_keys")
+    doc = raw.select("*", F.from_json(body, "map<string,string>").alias("_doc"))
+    read = doc.select(
+        *carried, *[F.col("_doc")[name].alias(f"_{name}") for name in EVENT_FIELDS], F.map_keys("_doc").alias("_keys")
     )
     parsers = {"timestamp": parse_timestamp, "location": parse_location, **dict.fromkeys(NUMERIC_FIELDS, parse_number)}
-    text = {name: F.col("_doc")[name] for name in EVENT_FIELDS}
+    text = {name: F.col(f"_{name}") for name in EVENT_FIELDS}
     unknown = F.size(F.array_except("_keys", known)) > 0
     fields = F.struct(
         *[parsers.get(name, lambda c: c)(text[name]).alias(name) for name in EVENT_FIELDS],

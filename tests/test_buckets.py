@@ -1,3 +1,5 @@
+import random
+
 from conftest import dicts, event_rows
 from pyspark.sql import functions as F
 
@@ -116,3 +118,13 @@ def test_running_total_any_chunk_width(spark):
     for width in (2, 16, 100_000):
         summed = running_total(rows, "k", {"t": "v"}, width)
         assert {r["k"]: r["t"] for r in summed.collect()} == wanted
+
+
+def test_newest_documents(spark):
+    rng = random.Random(6)
+    rows = [{"ms": BASE + rng.randrange(30_000), "hostname": f"h{i}"} for i in range(400)] + [{"hostname": "timeless"}]
+    events = event_rows(spark, rows).withColumn("event_id", F.xxhash64("hostname"))
+    wanted = sorted(dicts(events.where("timestamp is not null")), key=lambda r: r["event_id"])
+    wanted.sort(key=lambda r: r["timestamp"], reverse=True)
+    for limit in (1, 7, 100, 400, 1000):
+        assert dicts(panels.discover(events, limit=limit)) == wanted[:limit]
