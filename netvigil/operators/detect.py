@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netvigil.functions.metrics import aggregates, clamp
 from netvigil.functions.predicates import not_from
-from netvigil.functions.times import bucket_start, event_ms, to_ms
+from netvigil.functions.times import to_ms
 from netvigil.operators import forest
+from netvigil.operators.buckets import with_date_bucket
 from netvigil.operators.chunks import overlapping_chunks
 from netvigil.schema import Detector, ForestSettings
 
@@ -37,8 +38,8 @@ def detector_features(
         events = events.where(not_from("forecast"))
     if detector.category:
         events = events.where(F.col(detector.category).isNotNull())
-    key = bucket_start(event_ms(), detector.interval_ms).alias("key")
-    features = events.groupBy(entity_of(detector).alias("entity"), key).agg(*aggregates(detector.metrics))
+    windows = with_date_bucket(events, detector.interval_ms).groupBy(entity_of(detector).alias("entity"), "key")
+    features = windows.agg(*aggregates(detector.metrics))
     return features if as_of is None else closed_windows(features, detector, as_of)
 
 

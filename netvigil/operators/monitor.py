@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netvigil.functions.metrics import merged, partials
 from netvigil.functions.predicates import fires, not_from
-from netvigil.functions.times import bucket_start, event_ms, iso_seconds
+from netvigil.functions.times import bucket_start, event_ms, iso_seconds, utc_text
 from netvigil.schema import DAY, Monitor
 
 PAYLOAD_FIELDS = ["monitor_name", "trigger_name", "severity", "period_start", "period_end", "message"]
@@ -141,11 +141,11 @@ def notifications(events: DataFrame, monitor: Monitor, include_forecast: bool =
     sent = sent_ticks(events, monitor, include_forecast)
     rows = sent.select("tick", *[m.name for m in monitor.metrics], *payload_columns(monitor))
     body = F.to_json(F.struct(*PAYLOAD_FIELDS))
-    return rows.withColumn("payload", body).withColumn("text", human_message(iso_seconds(F.col("tick"))))
+    return rows.withColumn("payload", body).withColumn("text", human_message(F.col("tick")))
 
 
-def human_message(sent_at: Column, title: str = "ALERTA NOC", link: str | None = None) -> Column:
-    """Lines of a chat message over the payload's columns.
+def human_message(sent_ms: Column, title: str = "ALERTA NOC", link: str | None = None) -> Column:
+    """Lines of a chat message over the payload's columns, sent at an epoch-millisecond time.
 
     The period and the message appear only where present; values are not escaped.
     """
@@ -157,7 +157,7 @@ def human_message(sent_at: Column, title: str = "ALERTA NOC", link: str | None =
         F.concat(F.lit("📌 <b>Monitor:</b> "), F.col("monitor_name")),
         F.concat(F.lit("⚡ <b>Trigger:</b> "), F.col("trigger_name")),
         F.concat(F.lit("🔴 <b>Severidade:</b> "), F.col("severity")),
-        F.concat(F.lit("🕐 <b>Hora:</b> "), sent_at),
+        F.concat(F.lit("🕐 <b>Hora:</b> "), utc_text(sent_ms, "yyyy-MM-dd HH:mm:ss 'UTC'")),
         F.when(start != "", F.concat(F.lit("📅 <b>Período:</b> "), start, F.lit(" → "), end)),
         F.when(note != "", F.concat(F.lit("\n💬 <i>"), note, F.lit("</i>"))),
     ]

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from netvigil.functions.times import iso_millis, to_ms, utc_text
+from netvigil.functions.times import daily_name, iso_millis, to_ms, utc_text
 from netvigil.schema import EVENT_PREFIX, LOCATION_TYPE
 
 EPOCH = datetime(2024, 1, 1)
@@ -61,10 +61,23 @@ def _hundredths(units: Column, scale: int) -> Column:
     )
 
 
-def _raw_bound(ms: int, up: bool) -> datetime:
-    """Uncompressed time of a compressed moment, for a filter the scan can use."""
-    offset_us = (ms * 1000 - EPOCH_US) * SPEEDUP
-    return EPOCH + timedelta(microseconds=offset_us + (SPEEDUP * 1000 - 1 if up else 0))
+def _ts_type(raw: DataFrame) -> str:
+    return raw.schema["ts"].dataType.simpleString()
+
+
+def _elapsed_us(raw: DataFrame) -> Column:
+    """Microseconds of ``ts`` since the epoch of the telemetry; times without a zone are UTC."""
+    if _ts_type(raw) == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', ts)")
+    return F.unix_micros("ts") - F.lit(EPOCH_US)
+
+
+def _raw_bound(raw: DataFrame, ms: int, up: bool) -> Column:
+    """Uncompressed time of a compressed moment, as a literal the scan can use."""
+    offset_us = (ms * 1000 - EPOCH_US) * SPEEDUP + (SPEEDUP * 1000 - 1 if up else 0)
+    text = (EPOCH + timedelta(microseconds=offset_us)).isoformat(" ")
+    kind = _ts_type(raw)
+    return F.lit(text if kind == "timestamp_ntz" else f"{text}Z").cast(kind)
 
 
 def from_events(
@@ -74,19 +87,17 @@ def from_events(
 
     ``since`` and ``until`` (both included, in compressed time) reach the scan as bounds on ``ts``.
     """
-    ntz = raw.schema["ts"].dataType.typeName() == "timestamp_ntz"
     if since is not None:
-        raw = raw.where(F.col("ts") >= F.lit(_raw_bound(to_ms(since), False)).cast("timestamp_ntz" if ntz else "timestamp"))
+        raw = raw.where(F.col("ts") >= _raw_bound(raw, to_ms(since), False))
     if until is not None:
-        raw = raw.where(F.col("ts") <= F.lit(_raw_bound(to_ms(until), True)).cast("timestamp_ntz" if ntz else "timestamp"))
+        raw = raw.where(F.col("ts") <= _raw_bound(raw, to_ms(until), True))
 
-    elapsed_us = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) div {SPEEDUP}")
     base = raw.select(
         "event_id",
         "user_id",
         "event_type",
         F.regexp_extract("props", "-?[0-9]+", 0).try_cast("int").alias("k"),
-        (F.lit(EPOCH_US) + elapsed_us).alias("ts_us"),
+        (F.lit(EPOCH_US) + F.call_function("div", _elapsed_us(raw), F.lit(SPEEDUP))).alias("ts_us"),
     )
     minute_of_hour = F.pmod(F.expr("ts_us div 60000000"), F.lit(60))
     burst = minute_of_hour.between(BURST_FIRST_MINUTE, BURST_LAST_MINUTE)
@@ -124,9 +135,8 @@ def telemetry(
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry rows filed under the uncompressed day of each event, for lifecycle jobs."""
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    day = F.concat(F.lit(EVENT_PREFIX), F.translate(F.to_date("ts").cast("string"), "-", "."))
-    days = raw.select("event_id", "ts", day.alias("source_index"))
-    return days.withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
+    time = F.timestamp_micros(_elapsed_us(raw) + F.lit(EPOCH_US))
+    return raw.select("event_id", time.alias("timestamp"), daily_name(EVENT_PREFIX, F.unix_millis(time)).alias("source_index"))
 
 
 # A few documents of every kind that a strict table must refuse.

@@ -5,7 +5,6 @@ import pytest
 from conftest import dicts, event_rows
 from pyspark.sql import functions as F
 
-from netvigil.functions.times import iso_seconds
 from netvigil.operators import monitor as ops
 from netvigil.schema import CRITICAL_MONITOR, HOUR, MINUTE, UTILIZATION_MONITOR
 
@@ -106,10 +105,10 @@ def test_payload_fallbacks_and_text(spark):
     assert [r["monitor_name"] for r in rows] == ["A", "B", "Monitor", "Monitor", "Monitor", "Monitor", "Monitor"]
     assert [r["severity"] for r in rows][:3] == ["N/A", "1", "N/A"]
     assert [r["message"] for r in rows] == ["", "", "", "", "down < up", "x", "[1]"]
-    text = ops.human_message(iso_seconds(F.lit(BASE).cast("bigint")), link="http://dashboards")
+    text = ops.human_message(F.lit(BASE).cast("bigint"), link="http://dashboards")
     lines = [r[0].split("\n") for r in ops.parse_payloads(raw).orderBy("i").select(text).collect()]
     assert lines[2] == [
         "🚨 <b>ALERTA NOC</b> 🚨", "", "📌 <b>Monitor:</b> Monitor", "⚡ <b>Trigger:</b> Trigger",
-        "🔴 <b>Severidade:</b> N/A", "🕐 <b>Hora:</b> 2024-01-01T00:00:00Z", "", "🔗 <a href='http://dashboards'>Dashboard</a>",
+        "🔴 <b>Severidade:</b> N/A", "🕐 <b>Hora:</b> 2024-01-01 00:00:00 UTC", "", "🔗 <a href='http://dashboards'>Dashboard</a>",
     ]
     assert lines[4][6:9] == ["", "💬 <i>down < up</i>", ""]
