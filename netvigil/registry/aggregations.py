@@ -15,6 +15,7 @@ from netvigil.registry.common import (
     history_sql,
     register,
 )
+from netvigil.schema import SECOND
 from netvigil.sources.adapter import raw_daily, telemetry
 
 
@@ -162,14 +163,13 @@ def date_histogram_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "date_histogram_gapfill",
-    f""", g AS (SELECT ts_ms - ts_ms % 60000 AS key, count(*) AS c, {UTIL} AS a FROM ev
-  WHERE hostname = 'BR-SP-CORE-103' GROUP BY 1)
-, k AS (SELECT unnest(range(min(key), max(key) + 1, 60000)) AS key FROM g)
+    f""", g AS (SELECT ts_ms - ts_ms % 1000 AS key, count(*) AS c, {UTIL} AS a FROM ev GROUP BY 1)
+, k AS (SELECT unnest(range(min(key), max(key) + 1, 1000)) AS key FROM g)
 SELECT k.key, coalesce(c, 0) AS count, a AS avg_utilization FROM k LEFT JOIN g ON k.key = g.key""",
 )
 def date_histogram_gapfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = telemetry(spark, sf_dir).where(F.col("hostname") == "BR-SP-CORE-103")
-    return buckets.date_histogram_gapfill(events, MINUTE, [mean("utilization_pct").alias("avg_utilization")])
+    metrics = [mean("utilization_pct").alias("avg_utilization")]
+    return buckets.date_histogram_gapfill(telemetry(spark, sf_dir), SECOND, metrics)
 
 
 @register(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from netvigil.functions.metrics import aggregates
+from netvigil.functions.predicates import not_from
 from netvigil.functions.times import event_ms
 from netvigil.operators import forest
 from netvigil.operators.detect import FOREST, entity_of
@@ -71,11 +72,13 @@ def start_ingest(
     return _start(stamped.writeStream.foreachBatch(store), checkpoint, once, every_ms)
 
 
-def tumbling_features(events: DataFrame, detector: Detector) -> DataFrame:
+def tumbling_features(events: DataFrame, detector: Detector, include_forecast: bool = False) -> DataFrame:
     """A detector's features per closed window: ``entity``, ``key`` and the metrics.
 
     Rows later than the detector's delay are not seen; a window appears once it is that old.
     """
+    if not include_forecast and "source_index" in events.columns:
+        events = events.where(not_from("forecast"))
     if detector.category:
         events = events.where(F.col(detector.category).isNotNull())
     windows = F.window("timestamp", _seconds(detector.interval_ms)).alias("window")
@@ -152,6 +155,7 @@ def start_forecast(
     checkpoint: str,
     settings: ForecastSettings = SETTINGS,
     event_clock: bool = False,
+    ingest_lag_days: int | None = 1,
     once: bool = False,
     every_ms: int | None = MINUTE,
 ) -> StreamingQuery:
@@ -159,6 +163,8 @@ def start_forecast(
 
     ``arrivals`` is a stream of the events (it only sets the pace and the clock): "now" is the
     batch's recorded time, or with ``event_clock`` its newest event. A rerun replaces its points.
+    Events of the last hour are looked for in partitions at most ``ingest_lag_days`` older than
+    they are, as an event is not filed long before it happens; with None, in all partitions.
     """
 
     def refit(batch: DataFrame, batch_id: int) -> None:
@@ -166,7 +172,8 @@ def start_forecast(
         if now is None:
             return
         spark: SparkSession = batch.sparkSession
-        recent = read_events(spark, root, include_forecast=False, since=now - settings.history_ms)
+        since = now - settings.history_ms
+        recent = read_events(spark, root, include_forecast=False, since=since, ingest_lag_days=ingest_lag_days)
         write_forecast(forecast(recent, now, settings), root, now, batch=f"{batch_id:012d}")
 
     clock = F.col("timestamp") if event_clock else F.current_timestamp()
