@@ -23,6 +23,7 @@ AUTO_LADDER = (
     HOUR, 3 * HOUR, 12 * HOUR, DAY, 7 * DAY, 30 * DAY,
 )
 AUTO_BUCKETS = 100
+# Fixed value: label of the bucket for the rest.
 OTHER_LABEL = "Outras"
 
 

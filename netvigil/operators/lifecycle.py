@@ -13,6 +13,7 @@ from netvigil.sources.tables import PARTITIONS, TABLE_SCHEMA
 
 POLICY = Retention()
 STAGED, REPLACED = "_compacting-", "_replaced-"
+# Fixed value: notice of a deletion.
 NOTICE = "Índice {} será excluído por retenção de {} dias."
 
 

@@ -11,7 +11,19 @@ from netvigil.functions.predicates import fires, not_from
 from netvigil.functions.times import bucket_start, event_ms, iso_seconds, utc_text
 from netvigil.schema import DAY, Monitor
 
+# The payload's fields, the lines of the chat message, and what stands in for absent names.
 PAYLOAD_FIELDS = ["monitor_name", "trigger_name", "severity", "period_start", "period_end", "message"]
+TITLE_LINE = "🚨 <b>{title}</b> 🚨"
+NAME_LINES = [
+    "📌 <b>Monitor:</b> {monitor_name}",
+    "⚡ <b>Trigger:</b> {trigger_name}",
+    "🔴 <b>Severidade:</b> {severity}",
+]
+TIME_LINE = "🕐 <b>Hora:</b> "
+PERIOD_LINE = "📅 <b>Período:</b> {period_start} → {period_end}"
+NOTE_LINE = "💬 <i>{message}</i>"
+LINK_LINE = "🔗 <a href='{link}'>Dashboard</a>"
+NO_MONITOR, NO_TRIGGER, NO_SEVERITY = "Monitor", "Trigger", "N/A"
 
 
 def tick_range(ms: Column, monitor: Monitor) -> tuple[Column, Column]:
@@ -149,20 +161,16 @@ def human_message(sent_ms: Column, title: str = "ALERTA NOC", link: str | None =
 
     The period and the message appear only where present; values are not escaped.
     """
-    start, note = F.col("period_start"), F.col("message")
-    end = F.coalesce(F.col("period_end"), F.lit(""))
     lines = [
-        F.lit(f"🚨 <b>{title}</b> 🚨"),
+        F.lit(TITLE_LINE.format(title=title)),
         F.lit(""),
-        F.concat(F.lit("📌 <b>Monitor:</b> "), F.col("monitor_name")),
-        F.concat(F.lit("⚡ <b>Trigger:</b> "), F.col("trigger_name")),
-        F.concat(F.lit("🔴 <b>Severidade:</b> "), F.col("severity")),
-        F.concat(F.lit("🕐 <b>Hora:</b> "), utc_text(sent_ms, "yyyy-MM-dd HH:mm:ss 'UTC'")),
-        F.when(start != "", F.concat(F.lit("📅 <b>Período:</b> "), start, F.lit(" → "), end)),
-        F.when(note != "", F.concat(F.lit("\n💬 <i>"), note, F.lit("</i>"))),
+        *[fill_template(line) for line in NAME_LINES],
+        F.concat(F.lit(TIME_LINE), utc_text(sent_ms, "yyyy-MM-dd HH:mm:ss 'UTC'")),
+        F.when(F.col("period_start") != "", fill_template(PERIOD_LINE)),
+        F.when(F.col("message") != "", F.concat(F.lit("\n"), fill_template(NOTE_LINE))),
     ]
     if link:
-        lines += [F.lit(""), F.lit(f"🔗 <a href='{link}'>Dashboard</a>")]
+        lines += [F.lit(""), F.lit(LINK_LINE.format(link=link))]
     return F.concat_ws("\n", *lines)
 
 
@@ -183,9 +191,9 @@ def parse_payloads(raw: DataFrame, body: str = "body") -> DataFrame:
     broken = F.col("_p.broken").isNotNull()
     return read.select(
         *raw.columns,
-        F.coalesce("_p.monitor_name", "_p.monitor.name", F.lit("Monitor")).alias("monitor_name"),
-        F.coalesce("_p.trigger_name", "_p.trigger.name", F.lit("Trigger")).alias("trigger_name"),
-        F.coalesce("_p.severity", F.lit("N/A")).alias("severity"),
+        F.coalesce("_p.monitor_name", "_p.monitor.name", F.lit(NO_MONITOR)).alias("monitor_name"),
+        F.coalesce("_p.trigger_name", "_p.trigger.name", F.lit(NO_TRIGGER)).alias("trigger_name"),
+        F.coalesce("_p.severity", F.lit(NO_SEVERITY)).alias("severity"),
         F.coalesce("_p.period_start", F.lit("")).alias("period_start"),
         F.coalesce("_p.period_end", F.lit("")).alias("period_end"),
         F.when(broken, F.col(body)).otherwise(F.coalesce("_p.message", F.lit(""))).alias("message"),
