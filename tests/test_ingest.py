@@ -1,8 +1,10 @@
 import json
 
+import pytest
 from conftest import at, dicts, event_rows
 from pyspark.sql import functions as F
 
+from netvigil.plans import panels
 from netvigil.sources import ingest, tables
 from netvigil.sources.adapter import documents, telemetry
 
@@ -109,3 +111,15 @@ def test_statistics_count_every_document(spark, sf_dir):
     last = stats.orderBy(F.desc("batch_id")).first()
     assert last["total_ok"] + last["total_rejected"] == raw.count()
     assert ingest.quarantine(raw).count() == last["total_rejected"]
+
+
+def test_stored_events_give_the_same_panels(spark, sf_dir, folder):
+    events = telemetry(spark, sf_dir)
+    tables.write_daily(events, folder, at(BASE), rebalance=True)
+    stored = tables.read_events(spark, folder)
+    for panel, keys in ((panels.top_hosts, ["hostname"]), (panels.util_trend, ["key", "hostname"]), (panels.geo_heat, ["geohash"]),
+                        (panels.region_share, ["region"]), (panels.kpis, [])):
+        both = [sorted(dicts(panel(e)), key=lambda r: [str(r[k]) for k in keys]) for e in (events, stored)]
+        for one, other in zip(*both, strict=True):
+            assert [one[k] for k in keys] == [other[k] for k in keys]
+            assert all(other[k] == pytest.approx(v, rel=1e-6) for k, v in one.items() if isinstance(v, (int, float)))

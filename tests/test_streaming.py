@@ -126,6 +126,8 @@ def test_ingest_splits_counts_and_survives_a_rerun(spark, events, sf_dir):
         assert rejected.count() == ingest.quarantine(raw).count()
         total = counts.agg(F.sum("docs_ok"), F.sum("docs_rejected")).first()
         assert tuple(total) == (accepted.count(), rejected.count())
+        running = ingest.with_running_stats(counts).orderBy("batch_id").collect()
+        assert (running[-1]["total_ok"], running[-1]["total_rejected"]) == tuple(total)
         # The last batch as it is after a crash before its commit: it runs once more.
         Path(checkpoint, "commits", "2").unlink()
         Path(checkpoint, "commits", ".2.crc").unlink(missing_ok=True)
