@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netvigil.functions.metrics import clamp, mean
-from netvigil.functions.predicates import bool_query, exists, from_time
+from netvigil.functions.predicates import bool_query, exists, from_time, within
 from netvigil.functions.times import to_ms
 from netvigil.operators.buckets import terms_then_date
 from netvigil.schema import MINUTE, ForecastSettings
@@ -91,8 +91,7 @@ def forecast_union(actual: DataFrame, predicted: DataFrame) -> DataFrame:
 def forecast_run(events: DataFrame, run_time: datetime | int, settings: ForecastSettings = SETTINGS) -> DataFrame:
     """A forecast as it was made at ``run_time``, from what had happened by then; adds ``run_ms``."""
     run_ms = to_ms(run_time)
-    known = events.where(F.col("timestamp") <= F.timestamp_millis(F.lit(run_ms)))
-    return forecast(known, run_ms, settings).withColumn("run_ms", F.lit(run_ms).cast("bigint"))
+    return forecast(events.where(within(until=run_ms)), run_ms, settings).withColumn("run_ms", F.lit(run_ms).cast("bigint"))
 
 
 def forecast_latest(runs: DataFrame) -> DataFrame:
