@@ -61,3 +61,11 @@ def test_panel_shows_both_series_and_empty_minutes(spark):
     assert sorted(((r["key"] - BASE) // MINUTE, r["avg_utilization"], r["above_85"]) for r in rows if r["avg_utilization"]) == [
         (0, 90.0, True), (3, 10.0, False), (3, 20.0, False)]
     assert sum(r["source_index"] is None for r in rows) == 2
+
+
+def test_a_run_knows_its_own_millisecond(spark):
+    run = BASE + 10 * MINUTE
+    events = event_rows(spark, [{"ms": BASE, "hostname": "h", "utilization_pct": 10}, {"ms": run + 0.5, "hostname": "h", "utilization_pct": 20},
+                                {"ms": run + 1, "hostname": "h", "utilization_pct": 90}])
+    first = ops.forecast_run(events, run).orderBy("timestamp").first()
+    assert first["utilization_pct"] == 21
