@@ -63,18 +63,24 @@ def firing_ticks(events: DataFrame, monitor: Monitor, include_forecast: bool = F
 
 
 def throttle(
-    fired: DataFrame, interval_ms: int, throttle_ms: int, by: tuple[str, ...] = ("monitor",), chunk_ms: int = DAY
+    fired: DataFrame,
+    interval_ms: int,
+    throttle_ms: int,
+    by: tuple[str, ...] = ("monitor",),
+    chunk_ms: int | None = None,
 ) -> DataFrame:
     """The rows of the ticks that send: the first, then each one at least ``throttle_ms`` after the last sent.
 
     Ticks lie on a grid, so what a chunk of time does depends on one of a few entry states:
     how many grid steps into it the throttle still holds. Every chunk is folded for all of them;
     a second fold over chunks, one row each, finds the state each really starts from.
-    ``chunk_ms`` must be a multiple of the interval and exceed the throttle.
+    ``chunk_ms``, about a day if not given, must be a multiple of the interval and exceed the throttle.
     """
+    steps = max(1, -(-throttle_ms // interval_ms))
+    if chunk_ms is None:
+        chunk_ms = interval_ms * max(DAY // interval_ms, steps + 1)
     if chunk_ms % interval_ms or chunk_ms <= throttle_ms:
         raise ValueError("chunk_ms must be a multiple of interval_ms and exceed throttle_ms")
-    steps = max(1, -(-throttle_ms // interval_ms))
     hold = F.lit(steps * interval_ms).cast("bigint")
     interval = F.lit(interval_ms).cast("bigint")
     chunk = F.col("chunk")
@@ -102,7 +108,7 @@ def throttle(
         )
 
     nothing = F.struct(
-        F.lit(0).cast("bigint").alias("until"),
+        F.lit(None).cast("bigint").alias("until"),
         F.array().cast("array<struct<chunk:bigint,entry:bigint>>").alias("starts"),
     )
     walked = exits.groupBy(*by).agg(F.array_sort(F.collect_list("step")).alias("steps"))

@@ -11,7 +11,7 @@ from netvigil.schema import UTILIZATION_MONITOR
 from netvigil.sources.adapter import telemetry
 from netvigil.sources.tables import read_events
 
-NOON_RANGE_END = START_MS + 54 * MINUTE
+RANGE_END = START_MS + 54 * MINUTE
 MAP_BOX = (-30.0, -60.0, -20.0, -43.5)
 
 
@@ -27,11 +27,11 @@ def filter_time_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(telemetry(spark, sf_dir, since=END_MS - HOUR).where(where.from_time(END_MS, HOUR)))
 
 
-@register("filter_time_closed", ROWS + f"ts_ms BETWEEN {NOON_RANGE_END} - 300000 AND {NOON_RANGE_END}")
+@register("filter_time_closed", ROWS + f"ts_ms BETWEEN {RANGE_END} - 300000 AND {RANGE_END}")
 def filter_time_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = 5 * MINUTE
-    events = telemetry(spark, sf_dir, since=NOON_RANGE_END - back, until=NOON_RANGE_END)
-    return _rows(events.where(where.closed_range(NOON_RANGE_END, back)))
+    events = telemetry(spark, sf_dir, since=RANGE_END - back, until=RANGE_END)
+    return _rows(events.where(where.closed_range(RANGE_END, back)))
 
 
 @register("filter_exists", ROWS + "lat IS NOT NULL")

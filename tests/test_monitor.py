@@ -80,6 +80,13 @@ def test_throttle_against_brute_force(spark, interval, hold, chunk):
     assert found == {m: greedy(ticks, hold) for m, ticks in patterns.items()}
 
 
+@pytest.mark.parametrize("interval,hold", [(7 * MINUTE, 20 * MINUTE), (HOUR, 72 * HOUR), (HOUR, 0)])
+def test_throttle_picks_a_chunk_for_any_schedule(spark, interval, hold):
+    ticks = [t * interval for t in range(-300, 300) if t % 11]
+    fired = spark.createDataFrame([("m", t) for t in ticks], "monitor string, tick bigint")
+    assert sorted(r["tick"] for r in ops.throttle(fired, interval, hold).collect()) == greedy(ticks, hold)
+
+
 def test_throttle_refuses_chunks_it_cannot_fold(spark):
     fired = spark.createDataFrame([("m", BASE)], "monitor string, tick bigint")
     with pytest.raises(ValueError):
