@@ -27,7 +27,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: An uncovered character scores this much less than the lowest piece.
 UNKNOWN_PENALTY = 10.0
 #: Longer words are walked alone; remembered words at most; texts taken together, in characters.
-LONG, REMEMBERED, TOGETHER = 48, 500_000, 4_000_000
+LONG, REMEMBERED, TOGETHER = 48, 400_000, 2_000_000
 
 
 @dataclass
@@ -76,7 +76,7 @@ def build_trie(words: dict[str, int], code: dict[str, int]) -> tuple[np.ndarray,
             start += 1
         look, at = start, -1
         while at < 0:
-            if look + 1024 + len(code) >= size:
+            while look + 1024 + len(code) >= size:
                 base, value = np.append(base, np.zeros(size, np.int64)), np.append(value, np.full(size, -1, np.int64))
                 check, free = np.append(check, np.full(size, -1, np.int64)), np.append(free, np.ones(size, bool))
                 size *= 2
