@@ -36,7 +36,7 @@ from netvigil.session import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: N-grams and documents that a block of documents holds at most (one longer document may exceed the first).
-BLOCK_GRAMS, BLOCK_DOCS = 1 << 20, 1 << 15
+BLOCK_GRAMS, BLOCK_DOCS = 1 << 19, 1 << 15
 #: Representatives on a side of a product block.
 SIDE = 512
 #: Overlap increments expanded at once.

@@ -45,9 +45,9 @@ _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: rows that the machines are fitted on, at most. width: features. cost, rounds: of the fit."""
+    """sample: different rows that the machines are fitted on, at most. width: features. cost, rounds: of the fit."""
 
-    sample: int = 4000
+    sample: int = 2400
     width: int = 4096
     cost: float = 4.0
     rounds: int = 12
@@ -119,18 +119,20 @@ def fit_machine(rows: np.ndarray, side: np.ndarray, cost: float, rounds: int) ->
 
     ``side`` is +1 or -1; both sides weigh the same in all.
     """
-    rows = np.hstack([rows, np.ones((len(rows), 1), rows.dtype)]).astype(np.float64)
     penalty = np.where(side > 0, cost * len(side) / (2 * (side > 0).sum()), cost * len(side) / (2 * (side < 0).sum()))
     diagonal = 0.5 / penalty
-    norm = (rows * rows).sum(1) + diagonal
-    alpha, weights = np.zeros(len(rows)), np.zeros(rows.shape[1])
+    norm = np.einsum("ij,ij->i", rows, rows, dtype=np.float64) + 1 + diagonal
+    alpha, weights = np.zeros(len(rows)), np.zeros(rows.shape[1] + 1)
     order = np.random.default_rng(7)
     for _ in range(rounds):
         for i in order.permutation(len(rows)):
-            gradient = side[i] * rows[i].dot(weights) - 1 + diagonal[i] * alpha[i]
+            row = rows[i].astype(np.float64)
+            gradient = side[i] * (row.dot(weights[:-1]) + weights[-1]) - 1 + diagonal[i] * alpha[i]
             new = max(alpha[i] - gradient / norm[i], 0.0)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * side[i] * rows[i]
+                step = (new - alpha[i]) * side[i]
+                weights[:-1] += step * row
+                weights[-1] += step
                 alpha[i] = new
     return weights
 
@@ -181,7 +183,8 @@ def _machines(rows: np.ndarray, names: list[str], of: np.ndarray, settings: Sett
     columns = []
     for a, b in pairs:
         own = np.isin(of, [names[a], names[b]])
-        columns.append(fit_machine(rows[own], np.where(of[own] == names[a], 1.0, -1.0), settings.cost, settings.rounds))
+        side = np.where(of[own] == names[a], 1.0, -1.0)
+        columns.append(fit_machine(rows if own.all() else rows[own], side, settings.cost, settings.rounds))
     return pairs, np.array(columns).T.astype(np.float32)
 
 
@@ -201,7 +204,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     draw = F.xxhash64("doc_id", "lang") % (1 << 30)
     take = F.lit(False)
     for lang, size in sizes.items():
-        take = take | ((F.col("lang") == lang) & (F.abs(draw) < int(min(1.0, 1.1 * share / size) * (1 << 30))))
+        take = take | ((F.col("lang") == lang) & (F.abs(draw) < int(min(1.0, 0.95 * share / size) * (1 << 30))))
     width = settings.width
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +220,10 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
                 )
 
     sample = docs.where(take).select("text", "lang").mapInArrow(rows, "row binary, lang string")
-    sample = sample.orderBy("lang", "row").limit(settings.sample).collect()
+    # Equal rows teach once, so that a hot text can't fill the sample.
+    sample = sorted(sample.distinct().limit(settings.sample).collect(), key=lambda r: (r[1], bytes(r[0])))
     of = np.array([r[1] for r in sample], object)
-    made = np.array([np.frombuffer(r[0], "<f2") for r in sample]).astype(np.float32).reshape(len(sample), width)
+    made = np.frombuffer(b"".join(r[0] for r in sample), "<f2").astype(np.float32).reshape(len(sample), width)
     languages: dict[str, list[str]] = {}
     for lang in sorted(set(of)):
         languages.setdefault(_FAMILY.get(lang.lower(), lang), []).append(lang)
