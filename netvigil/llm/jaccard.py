@@ -29,7 +29,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import components, partitions, private
+from netvigil.llm.common import components, partitions, private, without
 from netvigil.llm.shingles import mix, shingle_sets
 from netvigil.session import stored
 
@@ -385,8 +385,7 @@ def keep_one(docs: DataFrame, width: int = 5, threshold: float = 0.75) -> DataFr
     more = found.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("n"))
     more = stored(more, "kept-ids")
     other = private(docs, "other_id")
-    gone = more.where("doc_id <> least").select(F.col("doc_id").alias(other))
-    kept = docs.join(gone, docs["doc_id"] == F.col(other), "left_anti")
+    kept = without(docs, "doc_id", more.where("doc_id <> least").select("doc_id"))
     if not more.where("n > 1").limit(1).count():
         return kept
     twice = more.where("n > 1 AND doc_id = least").select(F.col("doc_id").alias(other))
