@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Ids of a sequence, sequences of a shard, rounds of the network.
 LENGTH, SHARD, ROUNDS = 512, 1 << 16, 6
+#: Sequences that are compressed together for the shuffle, over all shards.
+TOGETHER = 1 << 14
 #: Byte values that UTF-8 never holds: the end of a document, and what fills its last sequence.
 END, PAD = 0xFE, 0xFF
 _U = np.uint64
@@ -80,7 +83,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-_SEQUENCE = "shard int, slot long, doc_id long, part_no long, n_ids int, ids binary"
+#: Blocks of sequences on their way to a shard: their places as numbers, their ids compressed together.
+_BLOCK = pa.schema([("shard", pa.int32()), ("places", pa.binary()), ("ids", pa.binary())])
+
+
+def _blocks(places: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
+    """A row for each shard that these sequences go to."""
+    order = np.argsort(places[:, 0])
+    places, records = places[order], records[order]
+    shards = places[:, 0] // SHARD
+    cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+    rows = [
+        (int(shards[lo]), places[lo:hi].tobytes(), zlib.compress(records[lo:hi].tobytes(), 1))
+        for lo, hi in zip(cuts[:-1], cuts[1:])
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), _BLOCK)], schema=_BLOCK)
 
 
 def _sequences(starts: dict[int, tuple[int, int]], total: int, key: int):
@@ -90,10 +107,10 @@ def _sequences(starts: dict[int, tuple[int, int]], total: int, key: int):
         for batch in batches:
             sizes = _sizes(batch.column(1))
             ends = np.cumsum([0, *sizes])
-            # A few thousand sequences at a time, and a long text in several goes.
+            # Some texts at a time; what a long one makes goes on in several blocks.
             row = 0
             while row < batch.num_rows:
-                to = max(row + 1, int(np.searchsorted(ends, ends[row] + 4096, "right")) - 1)
+                to = max(row + 1, int(np.searchsorted(ends, ends[row] + TOGETHER, "right")) - 1)
                 texts = batch.column(1).slice(row, to - row).to_pylist()
                 owner = np.repeat(np.arange(row, to), sizes[row:to])
                 number = np.arange(len(owner)) - np.repeat(ends[row:to] - ends[row], sizes[row:to])
@@ -102,17 +119,13 @@ def _sequences(starts: dict[int, tuple[int, int]], total: int, key: int):
                 flat = b"".join(x.ljust(int(n) * LENGTH, bytes([PAD])) for x, n in zip(ids, sizes[row:to]))
                 slots = permute(np.arange(at, at + len(owner)), total, key) if len(owner) else np.empty(0, np.int64)
                 at += len(owner)
-                for lo in range(0, len(owner), 4096):
-                    some = slice(lo, min(len(owner), lo + 4096))
-                    n = some.stop - lo
-                    offsets = pa.py_buffer((np.arange(n + 1) * LENGTH).astype(np.int32).tobytes())
-                    block = pa.Array.from_buffers(
-                        pa.binary(), n, [None, offsets, pa.py_buffer(flat[lo * LENGTH : some.stop * LENGTH])]
-                    )
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(slots[some] // SHARD, pa.int32()), pa.array(slots[some]),
-                        batch.column(0).take(pa.array(owner[some])), pa.array(number[some]), pa.array(used[some], pa.int32()), block,
-                    ], names=["shard", "slot", "doc_id", "part_no", "n_ids", "ids"])
+                records = np.frombuffer(flat, np.uint8).reshape(len(owner), LENGTH)
+                doc = batch.column(0).slice(row, to - row)
+                known = np.array(doc.is_valid().to_pylist(), bool)
+                doc = np.where(known, doc.fill_null(0).to_numpy(), 0)[owner - row]
+                places = np.stack([slots, doc, known[owner - row], number, used], axis=1).astype("<i8")
+                for lo in range(0, len(owner), TOGETHER):
+                    yield _blocks(places[lo : lo + TOGETHER], records[lo : lo + TOGETHER])
                 row = to
         if at != end:
             raise RuntimeError("the documents came in another order than when they were counted; store them first")
@@ -129,38 +142,30 @@ def shard_path(folder: str, shard: int) -> str:
 
 def _write(folder: str, total: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            slots = table["slot"].to_numpy()
-            shard = int(slots[0]) // SHARD
-            if slots[0] != shard * SHARD or len(slots) != min(SHARD, total - shard * SHARD) or (np.diff(slots) != 1).any():
+        blocks: dict[int, list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for shard, places, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                blocks.setdefault(shard, []).append((places, ids))
+        for shard in sorted(blocks):
+            own = blocks.pop(shard)
+            places = np.frombuffer(b"".join(p for p, _ in own), "<i8").reshape(-1, 5)
+            order = np.argsort(places[:, 0])
+            records = np.frombuffer(b"".join(zlib.decompress(d) for _, d in own), np.uint8).reshape(-1, LENGTH)
+            places, first = places[order], shard * SHARD
+            if (places[:, 0] != np.arange(first, min(first + SHARD, total))).any() if len(places) == min(SHARD, total - first) else True:
                 raise RuntimeError(f"shard {shard} lacks slots or holds some twice")
 
-            def write(out) -> None:
-                for piece in table["ids"].chunks:
-                    # Records of one length lie one behind the other in the column's buffer.
-                    out.write(piece.buffers()[2].slice(piece.offset * LENGTH, len(piece) * LENGTH))
+            def write(out, records=records, order=order) -> None:
+                for at in range(0, len(order), 1 << 13):
+                    out.write(records[order[at : at + (1 << 13)]].tobytes())
 
             publish(shard_path(folder, shard), write)
-            return pa.RecordBatch.from_arrays([
-                pa.array(slots), table["shard"].combine_chunks(), pa.array((slots - shard * SHARD) * LENGTH),
-                *[table[c].combine_chunks() for c in ("doc_id", "part_no", "n_ids")],
+            slots, docs, known, number, used = places.T
+            yield pa.RecordBatch.from_arrays([
+                pa.array(slots), pa.array(np.full(len(slots), shard), pa.int32()), pa.array((slots - first) * LENGTH),
+                pa.array(docs, mask=known == 0), pa.array(number), pa.array(used, pa.int32()),
             ], names=["slot", "shard", "byte_offset", "doc_id", "part_no", "n_ids"])
 
-        for batch in batches:
-            shards = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi > lo:
-                    if held and held[0].column(0)[0].as_py() != int(shards[lo]):
-                        yield flush()
-                        held.clear()
-                    held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield flush()
-
     return rows
 
 
@@ -183,8 +188,8 @@ def materialise(docs: DataFrame, folder: str, key: int = 1) -> DataFrame:
     make_folder(folder)
     layout = json.dumps({"key": key, "length": LENGTH, "shard": SHARD, "total": total, "end": END, "pad": PAD})
     publish(f"{folder}/layout.json", lambda out: out.write(layout.encode()))
-    made = rows.mapInArrow(_sequences(starts, total, key), _SEQUENCE)
-    made = made.repartitionById(max(1, -(-total // SHARD)), F.col("shard")).sortWithinPartitions("slot")
+    made = rows.mapInArrow(_sequences(starts, total, key), "shard int, places binary, ids binary")
+    made = made.repartitionById(max(1, -(-total // SHARD)), F.col("shard"))
     return stored(made.mapInArrow(_write(folder, total), _PLACES), "sequence-places")
 
 
