@@ -50,19 +50,25 @@ def terms_other(rows: DataFrame, term: str, size: int, label: str = OTHER_LABEL)
 
 def auto_interval(rows: DataFrame, buckets: int = AUTO_BUCKETS) -> Column:
     """Smallest step that covers the rows' time range in at most ``buckets``, as a scalar subquery."""
-    return rows.agg(_step(F.max(event_ms()) - F.min(event_ms()), buckets)).scalar()
+    return rows.agg(_step(F.min(event_ms()), F.max(event_ms()), buckets)).scalar()
 
 
-def _step(span: Column, buckets: int) -> Column:
-    step = F.lit(AUTO_LADDER[-1])
-    for width in reversed(AUTO_LADDER[:-1]):
-        step = F.when(span <= F.lit(width * buckets), F.lit(width)).otherwise(step)
+def _step(first: Column, last: Column, buckets: int) -> Column:
+    """The ladder's smallest step that touches at most ``buckets`` epoch-aligned buckets, beyond it a multiple of its
+    last step that does so whatever the alignment."""
+    most = F.lit(AUTO_LADDER[-1]).cast("bigint")
+    step = most * F.greatest(F.lit(1), F.ceil((last - first) / (most * (buckets - 2))))
+    for width in reversed(AUTO_LADDER):
+        held = F.floor(last / width) - F.floor(first / width) + 1
+        step = F.when(held <= buckets, F.lit(width).cast("bigint")).otherwise(step)
     return step.cast("bigint")
 
 
 def interval_for(span_ms: int, buckets: int = AUTO_BUCKETS) -> int:
     """The automatic interval of a time range known beforehand."""
-    return next((width for width in AUTO_LADDER if span_ms <= width * buckets), AUTO_LADDER[-1])
+    most = AUTO_LADDER[-1]
+    longer = most * max(1, -(-span_ms // (most * (buckets - 2))))
+    return next((width for width in AUTO_LADDER if span_ms <= width * buckets), longer)
 
 
 def with_date_bucket(rows: DataFrame, interval: Column | int | str = "auto") -> DataFrame:
@@ -88,6 +94,8 @@ def bucket_keys(grouped: DataFrame, interval: int) -> DataFrame:
     bounds = grouped.agg(F.min(row)["key"].alias("first"), F.max(row)["key"].alias("last"))
     bounds = bounds.where(F.col("first").isNotNull())
     spans = bounds.select("last", F.explode(F.sequence("first", "last", step)).alias("start"))
+    # The first days come from one row; the keys within them are made where these rows are dealt to.
+    spans = spans.repartition("start")
     stop = F.least(F.col("last"), F.col("start") + step - width)
     return spans.select(F.explode(F.sequence("start", stop, width)).alias("key"))
 
@@ -112,9 +120,9 @@ def numeric_histogram(rows: DataFrame, field: str, width: float) -> DataFrame:
 
 
 def terms_then_date(
-    rows: DataFrame, term: str, interval: int, metrics: Sequence[Column], size: int
+    rows: DataFrame, term: str, interval: int, metrics: Sequence[Column], size: int | None
 ) -> DataFrame:
-    """Metrics per term and date bucket, for the ``size`` terms with the most rows.
+    """Metrics per term and date bucket, for the ``size`` terms with the most rows, or with None for all terms.
 
     Terms are ranked by adding up the bucket counts; at most ``size`` of them are joined back.
     The ranking reads all the metrics (as a tie-break that never decides), so that both
@@ -123,6 +131,8 @@ def terms_then_date(
     """
     bucketed = with_date_bucket(rows.where(F.col(term).isNotNull()), interval)
     grouped = bucketed.groupBy(term, "key").agg(F.count("*").alias("count"), *metrics)
+    if size is None:
+        return grouped
     row = F.struct("key", *[c for c in grouped.columns if c not in (term, "key")])
     ranked = grouped.groupBy(term).agg(F.sum("count").alias("_docs"), F.max(row).alias("_row"))
     kept = ranked.orderBy(F.desc("_docs"), F.asc(term), F.asc("_row")).limit(size)

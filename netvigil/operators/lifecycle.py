@@ -65,13 +65,21 @@ def _names(files, folder) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(folder)]
 
 
+def _move(files, source, target) -> None:
+    """Renames a folder; a file system that only returns false, or would move into the target, raises here."""
+    if files.exists(target) or not files.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def _restore(files, at) -> None:
-    """Puts back partitions that an interrupted swap had moved away."""
+    """Puts back partitions that an interrupted swap had moved away, and clears what it had staged."""
     for kept in [name for name in _names(files, at()) if name.startswith(REPLACED)]:
         for name in _names(files, at(kept)):
             if not files.exists(at(name)):
-                files.rename(at(kept, name), at(name))
+                _move(files, at(kept, name), at(name))
         files.delete(at(kept), True)
+    for staged in [name for name in _names(files, at()) if name.startswith(STAGED)]:
+        files.delete(at(staged), True)
 
 
 def compact_warm(spark: SparkSession, root: str, as_of: date, policy: Retention = POLICY) -> None:
@@ -79,21 +87,30 @@ def compact_warm(spark: SparkSession, root: str, as_of: date, policy: Retention
 
     Rebalancing sends a small partition to one file and lets Spark split one larger than the
     advisory partition size, so that no task takes in a whole large day. Only warm partitions are
-    read (a filter on the partition column). They are rewritten aside, in a folder readers skip, and
-    then swapped in one by one; the old files go last. Nothing else may write to them meanwhile.
+    read (a filter on the partition column), and of these only the ones that hold more than the batch
+    of an earlier run. They are rewritten aside, in a folder readers skip, and then swapped in one by
+    one; the old files go last, and only when every move has been made: a move that fails is undone and
+    raised. Nothing else may write to them meanwhile.
     """
     files, at = _folders(spark, root)
     _restore(files, at)
+    days = [name for name in _names(files, at()) if name.startswith("source_index=")]
+    done = [name.partition("=")[2] for name in days if _names(files, at(name)) == ["batch=compacted"]]
     run = uuid.uuid4().hex
     staged, replaced = f"{STAGED}{run}", f"{REPLACED}{run}"
     table = spark.read.schema(TABLE_SCHEMA).parquet(root)
-    warm = table.where(state_of(partition_age(as_of), policy) == "warm").withColumn("batch", F.lit("compacted"))
+    warm = table.where((state_of(partition_age(as_of), policy) == "warm") & ~F.col("source_index").isin(done))
+    warm = warm.withColumn("batch", F.lit("compacted"))
     writer = warm.hint("rebalance", "source_index").write.partitionBy(*PARTITIONS)
     writer.option("compression", "zstd").parquet(at(staged).toString())
     files.mkdirs(at(replaced))
     for name in [n for n in _names(files, at(staged)) if n.startswith("source_index=")]:
-        files.rename(at(name), at(replaced, name))
-        files.rename(at(staged, name), at(name))
+        _move(files, at(name), at(replaced, name))
+        try:
+            _move(files, at(staged, name), at(name))
+        except Exception:
+            _move(files, at(replaced, name), at(name))
+            raise
     files.delete(at(staged), True)
     files.delete(at(replaced), True)
 

@@ -149,9 +149,9 @@ def date_histogram_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The automatic interval, as CTEs ending in ``evk`` with the bucket ``key``.
-AUTO = """, span AS (SELECT max(ts_ms) - min(ts_ms) AS width FROM ev)
-, step AS (SELECT coalesce(min(s), 2592000000) AS i FROM span, unnest([1000, 5000, 10000, 30000, 60000, 300000,
-  600000, 1800000, 3600000, 10800000, 43200000, 86400000, 604800000, 2592000000]) AS l(s) WHERE width <= s * 100)
+AUTO = """, span AS (SELECT min(ts_ms) AS lo, max(ts_ms) AS hi FROM ev)
+, step AS (SELECT coalesce(min(s), 2592000000 * any_value(greatest(1, -(-(hi - lo) // (2592000000 * 98))))) AS i FROM span, unnest([1000, 5000, 10000, 30000, 60000, 300000,
+  600000, 1800000, 3600000, 10800000, 43200000, 86400000, 604800000, 2592000000]) AS l(s) WHERE hi // s - lo // s + 1 <= 100)
 , evk AS (SELECT ev.*, ts_ms - ts_ms % i AS key FROM ev, step)
 """
 

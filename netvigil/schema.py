@@ -53,7 +53,7 @@ class ForecastSettings:
     history_ms: int = 60 * MINUTE
     bucket_ms: int = MINUTE
     horizon: int = 15
-    max_hosts: int = 100
+    max_hosts: int | None = None
 
 
 @dataclass(frozen=True)

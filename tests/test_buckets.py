@@ -80,7 +80,7 @@ def test_terms_then_date_keeps_biggest_terms(spark):
 
 
 def test_automatic_interval(spark):
-    for span, step in ((99_000, 1000), (100_001, 5000), (12 * 3_600_000, 600_000), (DAY * 365 * 20, 30 * DAY)):
+    for span, step in ((99_000, 1000), (100_001, 5000), (12 * 3_600_000, 600_000), (DAY * 365 * 20, 90 * DAY)):
         events = event_rows(spark, [{"ms": BASE}, {"ms": BASE + span}])
         assert spark.range(1).select(buckets.auto_interval(events)).first()[0] == step == buckets.interval_for(span)
 
@@ -128,3 +128,9 @@ def test_newest_documents(spark):
     wanted.sort(key=lambda r: r["timestamp"], reverse=True)
     for limit in (1, 7, 100, 400, 1000):
         assert dicts(panels.discover(events, limit=limit)) == wanted[:limit]
+
+
+def test_automatic_interval_counts_aligned_buckets(spark):
+    for first, span in ((30_000, 6_000_000), (30_000, 5_999_999), (0, 5_999_999), (5, 400 * 365 * 86_400_000)):
+        step = spark.range(1).select(buckets._step(F.lit(first).cast("long"), F.lit(first + span).cast("long"), 100)).first()[0]
+        assert (first + span) // step - first // step + 1 <= 100

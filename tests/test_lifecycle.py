@@ -81,3 +81,44 @@ def test_retention_is_a_dry_run_unless_applied(spark, folder):
     assert tables.read_events(spark, folder).count() == 3
     assert dicts(ops.retention(spark, folder, AS_OF, apply=True)) == plan
     assert tables.read_events(spark, folder).count() == 2
+
+
+class Refusing:
+    """A file system whose renames return false from the given one on, as Hadoop's do on failure."""
+
+    def __init__(self, files, refused):
+        self.files, self.refused, self.calls = files, refused, 0
+
+    def __getattr__(self, name):
+        return getattr(self.files, name)
+
+    def rename(self, source, target):
+        self.calls += 1
+        return False if self.calls in self.refused else self.files.rename(source, target)
+
+
+@pytest.mark.parametrize("refused", [{1}, {2}])
+def test_a_failing_move_loses_no_row(spark, folder, monkeypatch, refused):
+    fill(spark, folder, (20, 21))
+    before = spark.read.parquet(folder).count()
+    real = ops._folders
+
+    def folders(session, root):
+        files, at = real(session, root)
+        return Refusing(files, refused), at
+
+    monkeypatch.setattr(ops, "_folders", folders)
+    with pytest.raises(OSError):
+        ops.compact_warm(spark, folder, AS_OF)
+    assert spark.read.parquet(folder).count() == before > 0
+    monkeypatch.undo()
+    ops.compact_warm(spark, folder, AS_OF)
+    assert spark.read.parquet(folder).count() == before
+
+
+def test_a_second_run_changes_no_file(spark, folder):
+    fill(spark, folder, (20, 21))
+    ops.compact_warm(spark, folder, AS_OF)
+    files = sorted(spark.read.parquet(folder).inputFiles())
+    ops.compact_warm(spark, folder, AS_OF)
+    assert sorted(spark.read.parquet(folder).inputFiles()) == files and files
