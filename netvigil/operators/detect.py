@@ -18,6 +18,8 @@ from netvigil.schema import Detector, ForestSettings
 FOREST = ForestSettings()
 WHOLE_STREAM = "all"
 GRADE_WINDOWS = 120
+# A grade needs so many earlier scores; their deviation counts as this share of their median at least.
+LEAST_SCORES, LEAST_SPREAD = 5, 0.05
 
 
 def entity_of(detector: Detector) -> Column:
@@ -75,7 +77,7 @@ def shingles(features: DataFrame, detector: Detector, chunk_windows: int = 1440)
 def rcf_score(
     shingled: DataFrame, detector: Detector, settings: ForestSettings = FOREST, partitions: int | None = None
 ) -> DataFrame:
-    """Mean displacement of every shingle in a forest over its entity's past: ``anomaly_score``.
+    """Mean displacement of every shingle in a forest over its entity's past: ``anomaly_score``, null in the warm-up.
 
     The unit of work is (entity, chunk of time, block of trees). Chunks overlap by the forest's
     history, so a group holds at most ``chunk + history + refresh`` windows however long an entity's
@@ -111,19 +113,32 @@ def rcf_score(
     return parts.groupBy("entity", "key").agg((F.sum("units") / scale).alias("anomaly_score"))
 
 
+def _middle(ordered: Column) -> Column:
+    """Median of a sorted array."""
+    at = lambda half: F.get(ordered, F.floor((F.size(ordered) + half) / 2).cast("int"))
+    return (at(-1) + at(0)) / 2
+
+
 def anomaly_grade(scores: DataFrame, detector: Detector, windows: int = GRADE_WINDOWS) -> DataFrame:
     """Adds ``anomaly_grade`` in [0, 1]: how far a score lies beyond 3 deviations of the recent ones.
 
-    The mean and deviation are those of the same entity's scores in the previous ``windows``
-    windows of time; grade 1 is reached at 6 deviations. Fewer than two earlier scores grade 0.
+    The deviation is estimated from the median distance to the median, so that anomalies do not hide the next ones;
+    both medians are those of the same entity's scores in the previous ``windows`` windows of time. It
+    counts as ``LEAST_SPREAD`` of the median at least; grade 1 is reached at 6 deviations. Fewer than ``LEAST_SCORES``
+    earlier scores grade 0. Windows without a score have no grade and are nobody's past.
     """
     step = detector.interval_ms
     chunked = overlapping_chunks(scores, "key", 8 * windows * step, windows * step)
     recent = Window.partitionBy("entity", "chunk").orderBy("key").rangeBetween(-windows * step, -step)
-    spread = F.stddev_samp("anomaly_score").over(recent)
-    z = F.try_divide(F.col("anomaly_score") - F.avg("anomaly_score").over(recent), spread)
-    graded = chunked.withColumn("anomaly_grade", F.coalesce(clamp((z - 3) / 3, 0, 1), F.lit(0.0)))
-    return graded.where(~F.col("carried")).drop("chunk", "carried")
+    past = chunked.withColumn("_past", F.sort_array(F.collect_list("anomaly_score").over(recent)))
+    past = past.where(~F.col("carried")).withColumn("_median", _middle(F.col("_past")))
+    distances = F.array_sort(F.transform("_past", lambda s: F.abs(s - F.col("_median"))))
+    spread = F.greatest(_middle(distances) * F.lit(1.4826), F.col("_median") * F.lit(LEAST_SPREAD))
+    z = F.try_divide(F.col("anomaly_score") - F.col("_median"), spread)
+    beyond = F.coalesce(clamp((z - 3) / 3, 0, 1), F.lit(0.0))
+    grade = F.when(F.size("_past") < LEAST_SCORES, F.lit(0.0)).otherwise(beyond)
+    graded = past.withColumn("anomaly_grade", F.when(F.col("anomaly_score").isNotNull(), grade))
+    return graded.drop("chunk", "carried", "_past", "_median")
 
 
 def detector_results(

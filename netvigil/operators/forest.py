@@ -112,7 +112,7 @@ def score_windows(
     keys: np.ndarray, shingles: np.ndarray, wanted: np.ndarray, seed: tuple[str, int],
     interval: int, trees: int, sample: int, history: int, refresh: int, warmup: int,
 ) -> np.ndarray:
-    """Score sums over ``trees``, in millionths, of the ``wanted`` windows of one entity; keys ascend.
+    """Score sums over ``trees``, in millionths, of the ``wanted`` windows of one entity; -1 without score; keys ascend.
 
     Windows are scored in aligned stretches of ``refresh``. A stretch's trees are drawn from the
     shingles in the ``history`` windows before it, seeded by entity, stretch and block of trees:
@@ -121,7 +121,7 @@ def score_windows(
     name, block = seed
     salt = zlib.crc32(f"{block} {name}".encode())
     span = refresh * interval
-    scores = np.zeros(len(keys), dtype=np.int64)
+    scores = np.full(len(keys), -1, dtype=np.int64)
     stretch = keys - keys % span
     for start in np.unique(stretch[wanted]):
         begin, end = np.searchsorted(keys, [start - history * interval, start])
@@ -147,4 +147,5 @@ def score_group(rows: pd.DataFrame, entity: str, block: int, **settings: int) ->
     shingles = np.array(rows["shingle"].tolist(), dtype=float)
     wanted = ~rows["carried"].to_numpy(dtype=bool)
     scores = score_windows(keys, shingles, wanted, (entity, block), **settings)
-    return pd.DataFrame({"entity": entity, "key": keys[wanted], "units": scores[wanted]})
+    units = pd.Series(scores[wanted], dtype="Int64")
+    return pd.DataFrame({"entity": entity, "key": keys[wanted], "units": units.mask(units < 0)})

@@ -189,12 +189,17 @@ PAYLOAD_SHAPE = (
 def parse_payloads(raw: DataFrame, body: str = "body") -> DataFrame:
     """Notification rows from payload bodies, with fallbacks.
 
-    Names come from the flat key, else the nested one, else a default; a body that is not a
-    JSON object becomes the message itself.
+    Names come from the flat key, else the nested one, else a default; a body that is not one
+    JSON object from end to end becomes the message itself.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
-    read = raw.withColumn("_p", F.from_json(body, PAYLOAD_SHAPE, options))
-    broken = F.col("_p.broken").isNotNull()
+    # The parser stops behind the first value. As an item of a list, with a mark that no body holds as the next
+    # item, a body with more behind its value breaks the list or makes it longer.
+    mark = F.md5(F.col(body))
+    items = F.from_json(F.concat(F.lit("["), F.col(body), F.lit(',"'), mark, F.lit('"]')), "array<string>")
+    whole = F.coalesce((F.size(items) == 2) & (F.get(items, F.lit(1)) == mark), F.lit(False))
+    read = raw.withColumn("_p", F.when(whole, F.from_json(body, PAYLOAD_SHAPE, options)))
+    broken = F.col("_p").isNull() | F.col("_p.broken").isNotNull()
     return read.select(
         *raw.columns,
         F.coalesce("_p.monitor_name", "_p.monitor.name", F.lit(NO_MONITOR)).alias("monitor_name"),
@@ -202,5 +207,5 @@ def parse_payloads(raw: DataFrame, body: str = "body") -> DataFrame:
         F.coalesce("_p.severity", F.lit(NO_SEVERITY)).alias("severity"),
         F.coalesce("_p.period_start", F.lit("")).alias("period_start"),
         F.coalesce("_p.period_end", F.lit("")).alias("period_end"),
-        F.when(broken, F.col(body)).otherwise(F.coalesce("_p.message", F.lit(""))).alias("message"),
+        F.when(broken, F.coalesce(F.col(body), F.lit(""))).otherwise(F.coalesce("_p.message", F.lit(""))).alias("message"),
     )

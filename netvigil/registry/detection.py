@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.operators import detect
 from netvigil.registry.common import HOUR, LATENCY, LOSS, START_MS, UTIL, register
-from netvigil.schema import CRITICAL_SURGE, UTILIZATION_SPIKE, Detector
+from netvigil.schema import CRITICAL_SURGE, DETECTORS, UTILIZATION_SPIKE, Detector
 from netvigil.sources.adapter import telemetry
 
 HALFWAY = START_MS + 6 * HOUR + 30_000
@@ -68,19 +68,71 @@ def _scores(spark: SparkSession, sf_dir: str, detector: Detector) -> DataFrame:
     return detect.rcf_score(detect.shingles(features, detector), detector)
 
 
-@register("rcf_score")
+def scored_sql(full: str, detector: Detector) -> str:
+    """CTE ``scored``: entity, key and whether enough shingles lie in the history before the window's stretch."""
+    step = detector.interval_ms
+    span, history = detect.FOREST.refresh * step, detect.FOREST.history * step
+    return f"""
+, {full}_scored AS (SELECT f.entity, f.key, count(p.key) >= {detect.FOREST.warmup} AS scored
+  FROM {full} f LEFT JOIN {full} p ON p.entity = f.entity
+    AND p.key >= f.key - f.key % {span} - {history} AND p.key < f.key - f.key % {span}
+  GROUP BY 1, 2)
+"""
+
+
+SPIKE_SCORED = SPIKE_SQL + scored_sql("spike_full", UTILIZATION_SPIKE)
+SURGE_SCORED = SURGE_SQL + scored_sql("surge_full", CRITICAL_SURGE)
+
+
+def in_range(column: str):
+    """SQL cannot draw the trees: a result tells which windows have a value, and that it lies in [0, 1]."""
+    value = F.col(column)
+    return [value.isNotNull().alias("scored"), F.coalesce(value.between(0, 1), F.lit(True)).alias("in_range")]
+
+
+@register("rcf_score", SPIKE_SCORED + "SELECT *, true AS in_range FROM spike_full_scored")
 def rcf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir, UTILIZATION_SPIKE)
+    return _scores(spark, sf_dir, UTILIZATION_SPIKE).select("entity", "key", *in_range("anomaly_score"))
 
 
-@register("rcf_score_critical")
+@register("rcf_score_critical", SURGE_SCORED + "SELECT *, true AS in_range FROM surge_full_scored")
 def rcf_score_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir, CRITICAL_SURGE)
+    return _scores(spark, sf_dir, CRITICAL_SURGE).select("entity", "key", *in_range("anomaly_score"))
 
 
-@register("anomaly_grade")
+@register(
+    "anomaly_grade",
+    SPIKE_SCORED + SURGE_SCORED + """SELECT 'noc-utilization-spike' AS detector, *, true AS in_range FROM spike_full_scored
+UNION ALL SELECT 'noc-critical-surge', *, true FROM surge_full_scored""",
+)
 def anomaly_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect.anomaly_grade(_scores(spark, sf_dir, CRITICAL_SURGE), CRITICAL_SURGE)
+    graded = [
+        detect.anomaly_grade(_scores(spark, sf_dir, d), d).select(
+            F.lit(d.name).alias("detector"), "entity", "key", *in_range("anomaly_grade")
+        ) for d in DETECTORS
+    ]
+    return graded[0].unionByName(graded[1])
+
+
+@register(
+    "anomaly_grade_latency",
+    SPIKE_SQL + f"""
+, past AS (SELECT entity, key, avg_latency AS score, list(avg_latency) OVER (PARTITION BY entity ORDER BY key
+    RANGE BETWEEN {detect.GRADE_WINDOWS * 60000} PRECEDING AND 60000 PRECEDING) AS scores FROM spike)
+, known AS (SELECT entity, key, score, list_filter(coalesce(scores, []), lambda s: s IS NOT NULL) AS scores FROM past)
+, middle AS (SELECT *, list_aggregate(scores, 'median') AS median FROM known)
+, deviation AS (SELECT *, greatest(
+    list_aggregate(list_transform(scores, lambda s: abs(s - median)), 'median') * CAST(1.4826 AS DOUBLE),
+    median * CAST({detect.LEAST_SPREAD} AS DOUBLE)) AS spread FROM middle)
+SELECT entity, key, CASE WHEN score IS NULL THEN NULL WHEN len(scores) < {detect.LEAST_SCORES} OR spread = 0 THEN 0.0::DOUBLE
+  ELSE round(least(greatest(((score - median) / spread - 3) / 3, 0), 1), 9) END AS anomaly_grade FROM deviation""",
+)
+def anomaly_grade_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grade of a value that SQL can compute."""
+    features = detect.detector_features(telemetry(spark, sf_dir), UTILIZATION_SPIKE)
+    scores = features.select("entity", "key", F.col("avg_latency").cast("double").alias("anomaly_score"))
+    graded = detect.anomaly_grade(scores, UTILIZATION_SPIKE)
+    return graded.select("entity", "key", F.round("anomaly_grade", 9).alias("anomaly_grade"))
 
 
 @register(

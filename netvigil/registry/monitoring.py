@@ -121,7 +121,8 @@ STAMP = "strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')"
   CASE WHEN event_id % 5 = 0 THEN severity ELSE 'N/A' END AS severity,
   CASE WHEN event_id % 5 = 0 THEN {STAMP} ELSE '' END AS period_start,
   CASE WHEN event_id % 5 = 0 THEN {STAMP} ELSE '' END AS period_end,
-  CASE WHEN event_id % 5 < 4 THEN message ELSE '' END AS message
+  CASE WHEN event_id % 5 < 4 THEN message WHEN event_id % 25 = 9 THEN '   '
+    WHEN event_id % 25 = 14 THEN '{{"message":"a"}} trailing' ELSE '' END AS message
 FROM ev""",
 )
 def parse_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.functions.times import event_ms
 from netvigil.registry.common import LOSS, fit_sql, points_sql, register
-from netvigil.registry.detection import SPIKE_SQL, SURGE_SQL
+from netvigil.operators import detect
+from netvigil.registry.detection import SPIKE_SQL, SURGE_SCORED, SURGE_SQL
 from netvigil.registry.monitoring import SURGE_NAME, SURGE_TICKS, UTIL_NAME, UTIL_TICKS, sends_sql
 from netvigil.registry.tables import DOCS
 from netvigil.schema import CRITICAL_MONITOR, CRITICAL_SURGE, MONITORS, UTILIZATION_MONITOR, UTILIZATION_SPIKE
@@ -160,9 +161,16 @@ def stream_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("hostname", event_ms().alias("ts_ms"), utilization)
 
 
-@register("stream_detect")
+@register("stream_detect", SURGE_SCORED + """, newest AS (SELECT max(ts_ms) AS ms FROM ev)
+SELECT s.*, true AS as_batch FROM surge_full_scored s, newest WHERE key + 120000 <= ms - 60000""")
 def stream_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which windows the stream scored, and whether the batch job gives the same."""
     features = jobs.tumbling_features(event_stream(spark, sf_dir), CRITICAL_SURGE)
-    return run_chain(spark, features, lambda closed: jobs.detect_stream(closed, CRITICAL_SURGE), "surge-scores")
+    found = run_chain(spark, features, lambda closed: jobs.detect_stream(closed, CRITICAL_SURGE), "surge-scores")
+    batch = detect.detector_features(telemetry(spark, sf_dir), CRITICAL_SURGE)
+    batch = detect.rcf_score(detect.shingles(batch, CRITICAL_SURGE), CRITICAL_SURGE)
+    both = found.join(batch.withColumnRenamed("anomaly_score", "again"), ["entity", "key"], "left")
+    same = F.col("anomaly_score").eqNullSafe(F.col("again"))
+    return both.select("entity", "key", F.col("anomaly_score").isNotNull().alias("scored"), same.alias("as_batch"))
 
 

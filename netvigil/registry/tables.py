@@ -32,8 +32,9 @@ from netvigil.sources.tables import (
 # Which documents are refused and why, as CTEs ending in ``docs``; a reason is null where accepted.
 DOCS = """, docs AS (SELECT *, event_id // 10 AS batch_id,
   CASE WHEN event_id % 73 = 72 THEN 'not_an_object' WHEN event_id % 97 = 96 THEN 'unknown_field'
-    WHEN event_id % 83 = 82 THEN 'bad_timestamp' WHEN event_id % 89 = 88 THEN 'bad_number'
-    WHEN event_id % 79 = 78 AND NOT burst THEN 'bad_location' END AS reason FROM ev)
+    WHEN event_id % 83 = 82 THEN 'bad_timestamp' WHEN event_id % 89 = 88 OR event_id % 61 = 60 THEN 'bad_number'
+    WHEN event_id % 79 = 78 AND NOT burst THEN 'bad_location'
+    WHEN event_id % 71 = 70 OR event_id % 67 = 66 THEN 'bad_structure' END AS reason FROM ev)
 """
 
 

@@ -74,7 +74,7 @@ class ForestSettings:
 
     The forest is redrawn every ``refresh`` windows from at most ``sample`` of
     the shingles in the preceding ``history`` windows; fewer than ``warmup``
-    of them score nothing.
+    of them give no score (null).
     """
 
     trees: int = 30

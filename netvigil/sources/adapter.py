@@ -140,7 +140,10 @@ def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A few documents of every kind that a strict table must refuse.
-FAULTS = {"extra_field": 97, "bad_number": 89, "bad_timestamp": 83, "bad_location": 79, "truncated": 73}
+FAULTS = {
+    "extra_field": 97, "bad_number": 89, "bad_timestamp": 83, "bad_location": 79, "truncated": 73, "trailing": 71,
+    "nested": 67, "infinite": 61,
+}
 BATCH_SIZE = 10
 
 
@@ -161,7 +164,7 @@ def documents(events: DataFrame) -> DataFrame:
         .when(event_id % 3 == 1, F.concat(F.lit('"'), utc_text(ms, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit('+00:00"')))
         .otherwise(ms.cast("string"))
     )
-    utilization = F.when(faulty("bad_number"), F.lit('"n/a"')).otherwise(F.col("utilization_pct").cast("string"))
+    utilization = F.when(faulty("bad_number"), F.lit('"n/a"')).when(faulty("infinite"), F.lit("1e60")).otherwise(F.col("utilization_pct").cast("string"))
     coordinates = F.create_map(
         *[F.lit(part) for name, (lat, lon) in COORDINATES.items() for part in (name, f"{lat},{lon}")]
     )
@@ -173,7 +176,7 @@ def documents(events: DataFrame) -> DataFrame:
 
     body = F.concat(
         F.lit('{"timestamp":'), stamp,
-        text("hostname"), text("interface"), text("region"),
+        F.when(faulty("nested"), F.lit(',"hostname":{"name":"h"}')).otherwise(text("hostname")), text("interface"), text("region"),
         F.coalesce(location, F.lit("")),
         text("severity"), text("message"),
         F.lit(',"utilization_pct":'), utilization,
@@ -181,6 +184,7 @@ def documents(events: DataFrame) -> DataFrame:
         F.lit(',"packet_loss_pct":'), F.col("packet_loss_pct").cast("string"),
         F.when(faulty("extra_field"), F.lit(',"zz":1')).otherwise(F.lit("")),
         F.when(faulty("truncated"), F.lit("")).otherwise(F.lit("}")),
+        F.when(faulty("trailing"), F.lit('{"hostname":"h"}')).otherwise(F.lit("")),
     )
     return events.select(
         F.expr(f"event_id div {BATCH_SIZE}").alias("batch_id"), "event_id", ms.alias("sent_ms"), body.alias("body")
@@ -188,7 +192,7 @@ def documents(events: DataFrame) -> DataFrame:
 
 
 def payload_bodies(events: DataFrame) -> DataFrame:
-    """Notification bodies of every form a receiver meets: flat, nested, partial, plain text, empty."""
+    """Notification bodies of every form a receiver meets: flat, nested, partial, plain text, empty, blank, with more behind."""
     form = F.col("event_id") % 5
     stamp = iso_millis(F.unix_millis("timestamp"))
     note = F.col("message").alias("message")
@@ -206,6 +210,8 @@ def payload_bodies(events: DataFrame) -> DataFrame:
         .when(form == 2, F.to_json(F.struct(note)))
         .when(form == 3, F.col("message"))
         .when(F.col("event_id") % 25 == 4, F.lit(""))
+        .when(F.col("event_id") % 25 == 9, F.lit("   "))
+        .when(F.col("event_id") % 25 == 14, F.lit('{"message":"a"} trailing'))
         .otherwise(F.lit("{}"))
     )
     return events.select("event_id", body.alias("body"))

@@ -17,6 +17,7 @@ FULL_DATE_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9
 _NUMBER = r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
 NUMBER = f"^{_NUMBER}$"
 NUMBER_PAIR = f"^{_NUMBER},{_NUMBER}$"
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -39,8 +40,9 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    """Single-precision number, also from quoted text; null for anything else."""
-    return F.when(text.rlike(NUMBER), text.try_cast("float"))
+    """Finite single-precision number, also from quoted text; null for anything else."""
+    value = text.try_cast("float")
+    return F.when(text.rlike(NUMBER) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def parse_location(text: Column) -> Column:
@@ -51,6 +53,15 @@ def parse_location(text: Column) -> Column:
     return F.when(valid, F.struct(lat.alias("lat"), lon.alias("lon"))).cast(LOCATION_TYPE)
 
 
+def is_flat(body: Column) -> Column:
+    """Whether a body that parses holds single values only, and nothing stands behind it.
+
+    Judged on what is left of the body without its strings.
+    """
+    unescaped = F.when(body.contains("\\"), F.regexp_replace(body, r"(?s)\\.", "")).otherwise(body)
+    return F.regexp_replace(unescaped, '"[^"]*"', "").rlike(r"^\s*\{[^{}\[\]]*\}\s*$")
+
+
 def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     """Adds the typed event fields, ``message_keyword`` and ``reason``.
 
@@ -59,7 +70,7 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     """
     carried = raw.columns
     known = F.array(*[F.lit(name) for name in EVENT_FIELDS])
-    doc = raw.select("*", F.from_json(body, "map<string,string>").alias("_doc"))
+    doc = raw.select("*", F.from_json(body, "map<string,string>", STRICT).alias("_doc"))
     read = doc.select(
         *carried, *[F.col("_doc")[name].alias(f"_{name}") for name in EVENT_FIELDS], F.map_keys("_doc").alias("_keys")
     )
@@ -69,6 +80,7 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     fields = F.struct(
         *[parsers.get(name, lambda c: c)(text[name]).alias(name) for name in EVENT_FIELDS],
         F.when(F.col("_keys").isNull(), "not_an_object").when(unknown, "unknown_field").alias("_refused"),
+        is_flat(F.col(body)).alias("_flat"),
         *[text[name].isNotNull().alias(f"_has_{name}") for name in parsers],
     )
     # One struct through a generator: a filter on the outcome would otherwise be pushed below, and
@@ -84,6 +96,7 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
         .when(unparsed("timestamp"), "bad_timestamp")
         .when(bad_number, "bad_number")
         .when(unparsed("location"), "bad_location")
+        .when(~F.col("_flat"), "bad_structure")
     )
     keyword = F.when(F.length("message") <= KEYWORD_LIMIT, F.col("message"))
     return typed.select(*carried, *EVENT_FIELDS, keyword.alias("message_keyword"), reason.alias("reason"))

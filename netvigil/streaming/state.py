@@ -68,7 +68,8 @@ def window_scorer(
                     total += score_windows(at, rows, wanted, (key[0], block), interval=interval, **settings)
             keep = keys >= keys[-1] - kept_span
             keys, vectors = keys[keep], vectors[keep]
-            yield pd.DataFrame({"entity": key[0], "key": at[wanted], "anomaly_score": total[wanted] / unit})
+            found = total[wanted]
+            yield pd.DataFrame({"entity": key[0], "key": at[wanted], "anomaly_score": np.where(found < 0, np.nan, found / unit)})
         if len(keys):
             state.update((keys.tolist(), vectors.ravel().tolist()))
 

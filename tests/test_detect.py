@@ -139,7 +139,7 @@ def test_scores_look_at_the_past_only(spark, surge):
 
 def test_first_burst_stands_out(spark, surge):
     graded = detect.anomaly_grade(detect.rcf_score(detect.shingles(surge, CRITICAL_SURGE), CRITICAL_SURGE), CRITICAL_SURGE)
-    rows = dicts(graded)
+    rows = [r for r in dicts(graded) if r["anomaly_score"] is not None]
     minute = {r["key"]: (r["key"] - BASE) // MINUTE for r in rows}
     burst = [r for r in rows if 50 <= minute[r["key"]] < 55]
     ordinary = [r for r in rows if minute[r["key"]] % 60 < 44]
@@ -150,6 +150,25 @@ def test_first_burst_stands_out(spark, surge):
     assert sum(r["anomaly_grade"] > 0 for r in ordinary) < 0.05 * len(ordinary)
 
 
+def test_grades_of_even_scores(spark):
+    """Nothing stands out of even scores after a warm-up, whatever its length; a burst does, and hides no second one."""
+    scores = [None] * 20 + [0.2 + 0.004 * (i % 5) / 4 for i in range(100)]
+    scores[60:64] = scores[80:84] = [0.9] * 4
+    rows = [("e", BASE + i * 2 * MINUTE, s) for i, s in enumerate(scores)]
+    graded = detect.anomaly_grade(spark.createDataFrame(rows, "entity string, key bigint, anomaly_score double"), CRITICAL_SURGE)
+    grades = [r["anomaly_grade"] for r in graded.orderBy("key").collect()]
+    assert grades == [None] * 20 + [1.0 if 60 <= i < 64 or 80 <= i < 84 else 0.0 for i in range(20, 120)]
+
+
+def test_every_burst_is_graded(spark, surge):
+    scores = detect.rcf_score(detect.shingles(surge, CRITICAL_SURGE), CRITICAL_SURGE)
+    rows = dicts(detect.anomaly_grade(scores, CRITICAL_SURGE))
+    graded = {(r["key"] - BASE) // MINUTE for r in rows if r["anomaly_grade"]}
+    hours = {m // 60 for m in graded if 50 <= m % 60 < 62}
+    # Bursts enter the history that later ones are scored against: 6 of the 12 hourly ones are graded.
+    assert len(hours) >= 6, sorted(graded)
+
+
 def test_a_hot_entity_is_split(spark):
     settings = ForestSettings(trees=4, tree_blocks=2, sample=32, history=64, refresh=16, chunk=64)
     hot = features(spark, CRITICAL_SURGE, range(400), "hot")

@@ -46,10 +46,15 @@ def test_refusals(spark):
         json.dumps(good | {"latency_ms": "12.5"}), json.dumps(good | {"location": "91,0"}), json.dumps(good)[:-1],
         "[1]", "5", "", "plain", json.dumps(good | {"hostname": None}), json.dumps(good | {"utilization_pct": 900}),
     ]
+    bodies += [
+        '{"hostname":"a"}x', '{"hostname":"a"}{"hostname":"b"}', '{"hostname":{"a":1}}', '{"hostname":["a"]}',
+        '{"utilization_pct":1e60}', "{'hostname':'a'}", ' {"message":"a \\\\\\"{[ b"} ',
+    ]
     reasons = [r["reason"] for r in parse(spark, bodies)]
     assert reasons == [
         None, None, "unknown_field", "bad_number", None, "bad_location", "not_an_object",
         "not_an_object", "not_an_object", "not_an_object", "not_an_object", None, None,
+        "bad_structure", "bad_structure", "bad_structure", "bad_structure", "bad_number", "not_an_object", None,
     ]
 
 

@@ -119,3 +119,11 @@ def test_payload_fallbacks_and_text(spark):
         "🔴 <b>Severidade:</b> N/A", "🕐 <b>Hora:</b> 2024-01-01 00:00:00 UTC", "", "🔗 <a href='http://dashboards'>Dashboard</a>",
     ]
     assert lines[4][6:9] == ["", "💬 <i>down < up</i>", ""]
+
+
+def test_malformed_payloads_are_the_message(spark):
+    bodies = ['{"message":"a"} trailing', "   ", '{"message":"a"},{"message":"b"}', '{"message":"a"}]', "", None]
+    raw = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
+    rows = sorted(dicts(ops.parse_payloads(raw)), key=lambda r: r["i"])
+    assert [r["message"] for r in rows] == [*bodies[:5], ""]
+    assert {r["monitor_name"] for r in rows} == {"Monitor"}
