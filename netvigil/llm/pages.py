@@ -4,7 +4,8 @@ A page's lines are its blocks of text outside elements that are furniture by nam
 host and path, so the pages with the longest common path prefix are neighbours; the lines of both are aligned by
 their longest common subsequence and shared lines are deleted. Two kinds of shared lines stay: those of a neighbour
 that is a copy of the page (almost everything shared tells nothing), and lines of an article or main element that
-aren't links, since articles of a host do repeat passages of text.
+aren't links, since articles of a host do repeat passages of text. Text outside a page's article or main element is
+judged by the alignment as any other; only lines that are nothing but a link go there without being shared.
 """
 
 from __future__ import annotations
@@ -264,9 +265,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, open_lines, sizes = [], [], []
         for page in batch.column(3).to_pylist():
             own = lines(page or "")
-            article = any(inside for _, inside, _ in own)
             hashes.append([xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in own])
-            open_lines.append([i for i, (_, inside, link) in enumerate(own) if link or not article])
+            open_lines.append([i for i, (_, inside, link) in enumerate(own) if link or not inside])
             sizes.append([len(text) for text, _, _ in own])
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), batch.column(2), pa.array(hashes, pa.list_(pa.int64())),
@@ -318,7 +318,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = lines(page or "")
             article = any(inside for _, inside, _ in own)
             drop = set(gone or ())
-            texts.append(" ".join(t for i, (t, inside, _) in enumerate(own) if i not in drop and (inside or not article)))
+            texts.append(" ".join(t for i, (t, inside, link) in enumerate(own) if i not in drop and (inside or not article or not link)))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()),
         ], names=["page_id", "url", "text", "n_chars"])

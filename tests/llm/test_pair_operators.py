@@ -224,6 +224,14 @@ def test_shared_lines_go_and_copies_stay(spark):
     assert pages.main_text(table.limit(0)).collect() == []
 
 
+def test_text_outside_an_article_is_judged_by_the_neighbour(spark):
+    page = "<body><p>Shop of the town</p><p>Lead of {0}.</p><a href=x>More {0}</a><article><p>Story of {0}, told at length.</p></article></body>"
+    rows = [(i, f"http://h.example/a/{i}", page.format(f"thing{i}")) for i in range(4)] + [(9, "http://lone.example/", page.format("lone"))]
+    text = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"Lead of thing{i}. Story of thing{i}, told at length." for i in range(4))
+    assert text[9] == "Shop of the town Lead of lone. Story of lone, told at length."
+
+
 # --- archives ----------------------------------------------------------------------------------------------------
 
 
