@@ -2,9 +2,10 @@
 
 A page's lines are its blocks of text outside elements that are furniture by name, role or class. Pages are sorted by
 host and path, so the pages with the longest common path prefix are neighbours; the lines of both are aligned by
-their longest common subsequence and shared lines are deleted. Two kinds of shared lines stay: those of a neighbour
-that is a copy of the page (almost everything shared tells nothing), and lines of an article or main element that
-aren't links, since articles of a host do repeat passages of text. Text outside a page's article or main element is
+their longest common subsequence and shared lines are deleted. Pages of a host with equal lines are one page here, so
+each has a different neighbour. Two kinds of shared lines stay unless they are frequent on the host: those of a
+neighbour that is nearly a copy of the page (the same but for frequent lines), and lines of an article or main element
+that aren't links, since articles of a host do repeat passages of text. Text outside a page's article or main element is
 judged by the alignment as any other; only lines that are nothing but a link go there without being shared.
 """
 
@@ -262,20 +263,22 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, open_lines, sizes = [], [], []
+        hashes, has_open, sizes = [], [], []
         for page in batch.column(3).to_pylist():
             own = lines(page or "")
             hashes.append([xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in own])
-            open_lines.append([i for i, (_, inside, link) in enumerate(own) if link or not inside])
+            has_open.append(any(link or not inside for _, inside, link in own))
             sizes.append([len(text) for text, _, _ in own])
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), batch.column(2), pa.array(hashes, pa.list_(pa.int64())),
-            pa.array(open_lines, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32())),
+            pa.array(has_open, pa.bool_()), pa.array(sizes, pa.list_(pa.int32())),
         ], names=["key", "host", "path", "hashes", "open", "sizes"])
 
 
-#: A neighbour that shares more than this part of a page's characters is a copy and tells nothing.
+#: A neighbour that shares more than this part of the characters that aren't frequent on the host is a copy.
 COPY = 0.9
+#: A line is frequent on a host if it is on more than half of its different pages, and on this many at least.
+FREQUENT = 3
 
 
 def _near(path: str, other: str) -> tuple[int, int]:
@@ -290,8 +293,13 @@ def _near(path: str, other: str) -> tuple[int, int]:
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines that a page shares with its nearest page, and those of them that are frequent on the host.
+
+    Of a copy only frequent lines count. After a copy, or a page of another frame that shares nothing, the neighbour
+    on the other side is asked too. A host of two different pages has nothing to tell copies by: all shared lines count.
+    """
     for batch in batches:
-        keys, gone = [], []
+        same_pages, gone, notices = [], [], []
         for row in batch.itertuples(index=False):
             near = [
                 (path, list(hashes)) for host, path, hashes in
@@ -300,24 +308,31 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ]
             near.sort(key=lambda n: _near(row.path, n[0]), reverse=True)
             own, sizes = list(row.hashes), list(row.sizes)
+            frequent = set(row.frequent) if row.frequent is not None else set()
+            rare = sum(size for line, size in zip(own, sizes) if line not in frequent)
+            drop: set[int] = set()
             for _, other in near:
                 same = common(own, other)
-                if sum(sizes[i] for i in same) <= COPY * sum(sizes):
-                    drop = sorted(set(same) & set(row.open))
-                    if drop:
-                        keys.append(row.key)
-                        gone.append(drop)
+                copy = row.pages > 2 and sum(sizes[i] for i in same if own[i] not in frequent) > COPY * rare
+                drop.update(i for i in same if not copy or own[i] in frequent)
+                if same and not copy:
                     break
-        yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "gone": pd.Series(gone, dtype=object)})
+            if drop:
+                same_pages.append(row.same)
+                gone.append(sorted(drop))
+                notices.append([i for i in sorted(drop) if own[i] in frequent])
+        yield pd.DataFrame({
+            "same": pd.Series(same_pages, dtype="int64"), "gone": pd.Series(gone, dtype=object), "notices": pd.Series(notices, dtype=object),
+        })
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        for page, gone, notices in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4))):
             own = lines(page or "")
             article = any(inside for _, inside, _ in own)
-            drop = set(gone or ())
+            drop = {i for i in gone or () if own[i][2] or not own[i][1]} | set(notices or ())
             texts.append(" ".join(t for i, (t, inside, link) in enumerate(own) if i not in drop and (inside or not article or not link)))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()),
@@ -328,25 +343,36 @@ def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html; other columns are ignored).
 
     ``text`` is the main text, blocks joined by one space; n_chars counts its code points. Null and empty html give the
-    empty text; null urls form a host of their own. Repeated rows are one page to their neighbours and each come back;
-    pages under one URL are neighbours too. Only line hashes are sorted and compared; page texts are shuffled at most
+    empty text; null urls form a host of their own. Pages of a host with equal lines are one page, at the first of their
+    paths, and each come back; pages under one URL are neighbours too. Only line hashes are sorted and compared; page texts are shuffled at most
     once, and not at all when the table of deleted lines is small enough for the session to broadcast.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     key = F.xxhash64(F.col("page_id").cast("string"), "url", "html")
     host, path = host_and_path(F.col("url"))
     made = stored(rows.select(key.alias("key"), host.alias("host"), path.alias("path"), "html").mapInArrow(
-        _signatures, "key long, host string, path string, hashes array<long>, open array<int>, sizes array<int>"
-    ), "page-lines")
-    order = [F.col("host"), F.col("path"), F.col("key")]
-    placed = stored(numbered(made.dropDuplicates(["key"]), order, "place", "page-order"), "page-places")
+        _signatures, "key long, host string, path string, hashes array<long>, open boolean, sizes array<int>"
+    ).withColumn("same", F.xxhash64("host", "hashes")).withColumn("site", F.xxhash64("host")), "page-lines")
+    different = made.groupBy("site", "host", "same").agg(
+        F.min(F.struct("path", "hashes", "sizes")).alias("first"), F.max("open").alias("open")
+    ).select("site", "host", "same", "first.*", "open")
+    order = [F.col("host"), F.col("path"), F.col("same")]
+    placed = stored(numbered(different, order, "place", "page-order"), "page-places")
+    # Of one host at most twice the lines of its mean page can be on more than half of its pages.
+    pages_of = placed.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    frequent = placed.select("site", F.explode(F.array_distinct("hashes")).alias("line")).groupBy("site", "line").count()
+    frequent = frequent.where(F.col("count") >= FREQUENT).join(pages_of, "site").where("2 * count > pages")
+    hosts = pages_of.join(frequent.groupBy("site").agg(F.collect_list("line").alias("frequent")), "site", "left")
+    hosts = stored(hosts.where("pages > 1"), "page-hosts")
     beside = lambda step, name: placed.select(
         (F.col("place") + step).alias("place"), *[F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "hashes")]
     )
-    near = placed.where(F.size("open") > 0).join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
-    gone = stored(near.mapInPandas(_shared, "key long, gone array<int>"), "page-shared").withColumnRenamed("key", "other")
+    near = placed.join(hosts, "site").where("open OR frequent IS NOT NULL")
+    near = near.join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
+    gone = stored(near.mapInPandas(_shared, "same long, gone array<int>, notices array<int>"), "page-shared")
+    gone = made.select(F.col("key").alias("other"), "same").distinct().join(gone, "same").drop("same")
     joined = rows.withColumn("key", key).join(gone, F.col("key") == F.col("other"), "left")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "gone").mapInArrow(
+    return joined.select("page_id", "url", "html", "gone", "notices").mapInArrow(
         _texts, f"page_id {kind}, url string, text string, n_chars long"
     )

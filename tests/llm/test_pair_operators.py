@@ -232,6 +232,22 @@ def test_text_outside_an_article_is_judged_by_the_neighbour(spark):
     assert text[9] == "Shop of the town Lead of lone. Story of lone, told at length."
 
 
+def test_copies_are_told_by_what_is_not_frequent(spark):
+    frame = "<body><p>" + "Long menu of the site. " * 40 + "</p>{0}<p>All rights reserved</p></body>"
+    story = lambda i: f"<p>Story {i}.</p>"
+    long = lambda i: "".join(f"<p>Part {k} of tale {i}, which is long enough to weigh more than its stamp.</p>" for k in range(20))
+    rows = [(i, f"http://short.example/a/{i}", frame.format(story(i))) for i in range(4)]
+    rows += [(10 + i, f"http://copies.example/a/{i}", frame.format(story("same" if 1 <= i <= 4 else i))) for i in range(6)]
+    rows += [(20 + i, f"http://stamps.example/a/{i}", frame.format(long(min(i, 4)) + f"<p>Printed {i}</p>")) for i in range(6)]
+    notice = "<article><p>Tale {0} in full.</p><p>{1}</p><p>Support our paper.</p></article>"
+    rows += [(30 + i, f"http://notice.example/a/{i}", notice.format(i, "A passage twice." if i < 2 else f"Passage {i}.")) for i in range(5)]
+    text = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [text[i] for i in range(4)] == [f"Story {i}." for i in range(4)]
+    assert [text[10 + i] for i in range(6)] == ["Story 0.", *["Story same."] * 4, "Story 5."]
+    assert all("menu" not in text[20 + i] and f"Part 19 of tale {min(i, 4)}," in text[20 + i] and f"Printed {i}" in text[20 + i] for i in range(6))
+    assert text[30] == "Tale 0 in full. A passage twice." and text[34] == "Tale 4 in full. Passage 4."
+
+
 # --- archives ----------------------------------------------------------------------------------------------------
 
 
