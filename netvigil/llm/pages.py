@@ -42,15 +42,26 @@ FURNITURE = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Words in a class or id that mark furniture.
+#: Words that mark furniture: a class or an id all of whose words are among these and PLACES.
 WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted banner cookie cookies "
     "consent gdpr notice notices popup modal overlay sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer "
     "comment comments disqus replies reply related recommended recommendations share sharing social newsletter subscribe "
     "subscription login signup signin search toolbar pagination pager widget widgets skip hidden".split()
 )
+#: Words that say where or in what form furniture stands; they mark nothing alone.
+PLACES = frozenset(
+    "site page main primary secondary global local top bottom left right upper lower inner outer sticky fixed "
+    "bar box block area zone section container panel column col row list item items link links button buttons btn icon icons "
+    "slot unit form post posts article articles entry google".split()
+)
 #: Words that name a frame around the content, not the furniture itself.
 FRAMES = frozenset("with has no without wrapper layout".split())
+#: Furniture that may well be longer than the main text.
+LONG = frozenset(
+    "comment comments disqus replies reply ad ads advert adverts advertisement advertising footer nav navbar navigation sidebar "
+    "aside cookie cookies consent gdpr breadcrumb breadcrumbs recommended recommendations".split()
+)
 #: An element of these names starts by ending an open one of the same group.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -59,7 +70,8 @@ _TAG = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# One attribute after another, so that nothing is looked for inside a value.
+_ATTRIBUTE = re.compile(r"([^\s\"'/>=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 _TOKEN = re.compile("[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -67,31 +79,64 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 Line = tuple[str, bool, bool]
 
 
-def _kind(name: str, attributes: str) -> str:
-    """``furniture``, ``header`` (in an article only its headings count), ``content``, or nothing."""
+def _marks(value: str, words: frozenset[str]) -> set[str]:
+    """The ``words`` in those names of a class or id that consist of nothing but them and places."""
+    out: set[str] = set()
+    if FRAMES & set(_TOKEN.findall(value)):
+        return out
+    for name in value.split():
+        parts = set(_TOKEN.findall(name))
+        if parts <= words | PLACES:
+            out |= parts & words
+    return out
+
+
+def _kind(name: str, attributes: str) -> tuple[str, bool]:
+    """``furniture``, ``header`` (in an article only its headings count), ``content``, or nothing.
+
+    And whether it is furniture by no more than an id that doesn't tell how long it is.
+    """
     if name in FURNITURE:
-        return "furniture"
+        return "furniture", False
     kind = "header" if name == "header" else "content" if name in ("article", "main") else ""
-    if attributes and name not in ("html", "body"):
-        for m in _ATTRIBUTE.finditer(attributes):
-            what, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if what == "hidden" or what == "aria-hidden" and value == "true" or what == "style" and _HIDDEN.search(value):
-                return "furniture"
-            words = set(_TOKEN.findall(value)) if what in ("class", "id", "role") else set()
-            if what == "role":
-                if words & ROLES:
-                    return "furniture"
-                kind = "content" if words & {"main", "article"} else kind
-            elif words & WORDS and not words & FRAMES and (kind != "content" or words & {"comment", "comments", "reply"}):
-                return "furniture"
-            elif words & {"header", "masthead"} and not words & FRAMES and kind != "content":
+    if not attributes or name in ("html", "body"):
+        return kind, False
+    given: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1]:
+            given.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    if "hidden" in given or given.get("aria-hidden") == "true" or _HIDDEN.search(given.get("style", "")):
+        return "furniture", False
+    roles = set(given.get("role", "").split())
+    if roles & ROLES:
+        return "furniture", False
+    kind = "content" if roles & {"main", "article"} else kind
+    for what in ("class", "id"):
+        if what in given and not (what == "id" and name in HEADINGS):
+            marks = _marks(given[what], WORDS)
+            if marks and (kind != "content" or marks & {"comment", "comments", "reply"}):
+                return "furniture", what == "id" and not marks & LONG
+            if kind != "content" and _marks(given[what], frozenset(("header", "masthead"))):
                 kind = "header"
-    return kind
+    return kind, False
 
 
 def lines(page: str) -> list[Line]:
-    """The page's lines outside furniture: character references decoded, white space made one space."""
+    """The page's lines outside furniture: character references decoded, white space made one space.
+
+    An element that is furniture by its id alone and holds most of the page's other text is none.
+    """
+    out, doubtful, total = _read(page, frozenset())
+    spared = frozenset(at for at, size in doubtful.items() if 2 * size > total)
+    return _read(page, spared)[0] if spared else out
+
+
+def _read(page: str, spared: frozenset[int]) -> tuple[list[Line], dict[int, int], int]:
+    """The lines; characters in each element that is furniture by its id alone, by place; and all characters that count."""
     out: list[Line] = []
+    sizes: dict[int, int] = {}
+    doubts: list[tuple[int, int, int]] = []
+    total = 0
     stack: list[tuple[str, str]] = []
     names: Counter[str] = Counter()
     kinds: Counter[str] = Counter()
@@ -109,7 +154,9 @@ def lines(page: str) -> list[Line]:
         linked = plain = 0
 
     def add(text: str) -> None:
-        nonlocal linked, plain, inside
+        nonlocal linked, plain, inside, total
+        if kinds["furniture"] == len(doubts):
+            total += len(text) - text.count(" ")
         if not text or kinds["furniture"] or kinds["header"] and not (kinds["content"] and kinds["heading"]):
             return
         if not pieces:
@@ -121,6 +168,9 @@ def lines(page: str) -> list[Line]:
     def close(upto: int) -> None:
         while len(stack) > upto:
             name, kind = stack.pop()
+            if doubts and doubts[-1][0] == len(stack):
+                _, start, before = doubts.pop()
+                sizes[start] = total - before
             names[name] -= 1
             kinds[kind] -= 1
 
@@ -162,13 +212,19 @@ def lines(page: str) -> list[Line]:
                 # A block ends an open paragraph, with the inline elements left open in it.
                 close_named(("p",), frozenset(n for n, _ in stack[-1:] if n not in INLINE and n != "p"))
             attributes = m[3] if m[2] else m[6]
-            kind = _kind(name, attributes) or ("heading" if name in HEADINGS else "")
+            kind, doubt = _kind(name, attributes)
+            if doubt and m.start() in spared:
+                kind, doubt = "", False
+            kind = kind or ("heading" if name in HEADINGS else "")
             if not (attributes or "").endswith("/") or name not in ("svg", "path"):
+                if doubt and kinds["furniture"] == len(doubts):
+                    doubts.append((len(stack), m.start(), total))
                 stack.append((name, kind))
                 names[name] += 1
                 kinds[kind] += 1
     flush()
-    return out
+    close(0)
+    return out, sizes, total
 
 
 # --- alignment ---------------------------------------------------------------------------------------------------
@@ -370,7 +426,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     near = placed.join(hosts, "site").where("open OR frequent IS NOT NULL")
     near = near.join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
     gone = stored(near.mapInPandas(_shared, "same long, gone array<int>, notices array<int>"), "page-shared")
-    gone = made.select(F.col("key").alias("other"), "same").distinct().join(gone, "same").drop("same")
+    gone = stored(made.select(F.col("key").alias("other"), "same").distinct().join(gone, "same").drop("same"), "page-gone")
     joined = rows.withColumn("key", key).join(gone, F.col("key") == F.col("other"), "left")
     kind = rows.schema["page_id"].dataType.simpleString()
     return joined.select("page_id", "url", "html", "gone", "notices").mapInArrow(

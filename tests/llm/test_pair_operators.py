@@ -209,6 +209,25 @@ def test_lines_of_a_page():
     assert [t for t, _, _ in pages.lines("<p>a<p" + "<b>" * 30_000 + "z" + "</i>" * 30_000)] == ["a", "z"]
 
 
+@pytest.mark.parametrize("tag", [
+    'p title="the hidden cost"', 'p data-x="/lakes/hidden-lake.html"', "p data-role=search", 'div class="overflow-hidden"',
+    'div class="content ad-free"', 'section id="related-work"', 'h2 id="comments"', 'div id="related"', "p title='a class=\"ad\" b'",
+])
+def test_text_that_only_sounds_like_furniture_stays(tag):
+    name = tag.split()[0]
+    page = f"<body><p>Some text.</p><{tag}>This is much of the page's text.</{name}></body>"
+    assert [t for t, _, _ in pages.lines(page)] == ["Some text.", "This is much of the page's text."]
+
+
+@pytest.mark.parametrize("tag", [
+    "p hidden", 'p role="search"', 'p class="x ad"', 'div class="site-footer"', 'div class="cookie-notice"', 'p id="comments"',
+    'p CLASS=ad-slot', "p class='a' style='display:none'", 'p class="ad', 'div id="footer"',
+])
+def test_furniture_goes(tag):
+    page = f"<body><p>Some text.</p><{tag}>Furniture that is longer than the text.</{tag.split()[0]}></body>"
+    assert [t for t, _, _ in pages.lines(page)] == ["Some text."]
+
+
 def test_shared_lines_go_and_copies_stay(spark):
     frame = "<body><p>Top menu</p><p>{0} is one long story about {0} that nobody else tells.</p><p>All rights reserved</p></body>"
     rows = [(i, f"http://h.example/a/{i}", frame.format(f"thing{i}")) for i in range(6)]
