@@ -1,10 +1,12 @@
 """Personal data: fixed patterns with checks, and bootstrapped contextual extraction of what they miss.
 
 The fixed patterns find e-mail addresses, IP addresses, payment cards and phone numbers. These are the seeds. An
-occurrence's pattern is the word before it together with its shape (lengths of digit runs, punctuation); patterns
+occurrence has several patterns: the word before it with its shape (lengths of digit runs, punctuation), the words on
+both sides with its class (with letters or without), and a label before it (``tel:``, ``ip=``) with its class. Patterns
 and values form a bipartite graph over the whole corpus. Spark scores it in turns: a pattern by the mean score of the
-values it holds, a value by the patterns it stands in. Tokens in the shape and context of confident patterns that
-no fixed pattern accepted are identifiers too, and are added as spans of the kind ``context``.
+values it holds, a value by the patterns it stands in. Tokens in confident patterns that no fixed pattern accepted
+are identifiers too, whatever their form, and are added as spans of the kind ``context``. Every token with a digit, an @,
+an underscore or a sign between letters is a candidate; words of letters alone are none, as no seed is of that class.
 """
 
 from __future__ import annotations
@@ -35,17 +37,20 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile("[0-9]")
 _SHAPE = re.compile("[0-9]+|[A-Za-z]+")
+# A phone number with its area in brackets and without +.
+_AREA = re.compile(r"(?:[0-9]{1,4}[\x20-]?)?\([0-9]{1,6}\)[\x20-]?[0-9](?:[\x20.-]?[0-9])*")
+_SIGN = re.compile(r"[0-9@_]|(?<=[A-Za-z])[.+/#~(\[{<-](?=[A-Za-z])")
+_LABEL = re.compile(r"[^\W\d_]+[:=](?!//)(?=\S)")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """rounds of scoring; a pattern is confident from ``confidence`` and ``support`` seed values on; a token needs
-    ``digits`` digits to be a candidate."""
+    """rounds of scoring; a pattern is confident from ``confidence`` and ``support`` seed values on."""
 
     rounds: int = 3
     confidence: float = 0.7
     support: int = 3
-    digits: int = 5
 
 
 def luhn(digits: str) -> bool:
@@ -107,27 +112,54 @@ def _context(text: str, start: int) -> str:
     return text[begin:end].lower().rstrip(".,;!?)\"'")
 
 
-def occurrences(text: str, digits: int) -> tuple[list, list]:
-    """The base spans, and (pattern, value, seed, start, end) of them and of candidates that overlap none."""
+def _after(text: str, end: int) -> str:
+    """The closing punctuation at ``end``, or the word after it, lower-cased; ``$`` at the end of the text."""
+    if end < len(text) and text[end] in ".,;:!?":
+        return text[end]
+    begin = end
+    while begin < len(text) and (text[begin].isspace() or text[begin] in ")\"'"):
+        begin += 1
+    stop = begin
+    while stop < len(text) and stop - begin < 32 and not text[stop].isspace():
+        stop += 1
+    return text[begin:stop].lower().rstrip(".,;:!?)\"'") or text[begin:stop] or "$"
+
+
+def _patterns(text: str, start: int, end: int) -> list[str]:
+    value, before = text[start:end], _context(text, start)
+    out = [f"{before}\t{_shape(value)}"]
+    if _LETTER.search(before):
+        kind = "a" if _LETTER.search(value) else "9"
+        out.append(f"{before}\t{_after(text, end)}\t{kind}")
+        if before[-1] in ":=":
+            out.append(f"{before}\t\t{kind}")
+    return out
+
+
+def occurrences(text: str) -> tuple[list, list]:
+    """The base spans, and (patterns, value, seed, start, end) of them and of candidates that overlap none."""
     found, failed = base_spans(text)
     out = [(s, e, True) for s, _, e in found]
     spans = [(s, e) for s, _, e in found]
     taken = 0
     at = 0
-    candidates = sorted(failed)
-    # Runs of anything but white space that hold a digit.
-    while m := _DIGIT.search(text, at):
+    candidates = failed + [m.span() for m in _AREA.finditer(text)]
+    # Runs of anything but white space that hold a digit or a sign.
+    while m := _SIGN.search(text, at):
         begin, end = m.start(), m.end()
         while begin > at and not text[begin - 1].isspace():
             begin -= 1
         while end < len(text) and not text[end].isspace():
             end += 1
+        at = end
+        if label := _LABEL.match(text, begin, end):
+            begin = label.end()
         while end > begin and text[end - 1] in ".,;:!?)\"'":
             end -= 1
-        candidates.append((begin, end))
-        at = max(end, m.end())
+        if end > m.start():
+            candidates.append((begin, end))
     for begin, end in sorted(candidates, key=lambda c: (c[0], -c[1])):
-        if begin < taken or end - begin > 256 or sum(c.isdigit() for c in text[begin:end]) < digits:
+        if begin < taken or end - begin > 256:
             continue
         while spans and spans[0][1] <= begin:
             spans.pop(0)
@@ -136,39 +168,36 @@ def occurrences(text: str, digits: int) -> tuple[list, list]:
         taken = end
         out.append((begin, end, False))
     return found, [
-        (f"{_context(text, s)}\t{_shape(text[s:e])}", hashlib.blake2b(text[s:e].encode(), digest_size=12).hexdigest(), seed, s, e)
+        (_patterns(text, s, e), hashlib.blake2b(text[s:e].encode(), digest_size=12).hexdigest(), seed, s, e)
         for s, e, seed in sorted(out)
     ]
 
 
-_FOUND = "array<struct<pattern:string,value:string,seed:boolean,first:int,last:int>>"
+_FOUND = "array<struct<patterns:array<string>,value:string,seed:boolean,first:int,last:int>>"
 _ROWS = f"row long, doc_id long, counts array<long>, base_sha256 string, base array<struct<first:int,kind:int,last:int>>, found {_FOUND}"
 
 
-def _reader(digits: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        found_type = pa.list_(pa.struct([
-            ("pattern", pa.string()), ("value", pa.string()), ("seed", pa.bool_()), ("first", pa.int32()), ("last", pa.int32()),
-        ]))
-        base_type = pa.list_(pa.struct([("first", pa.int32()), ("kind", pa.int32()), ("last", pa.int32())]))
-        for batch in batches:
-            counts, digests, base, found = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                spans, seen = occurrences(text or "", digits)
-                counts.append([sum(k == kind for _, k, _ in spans) for kind in range(4)])
-                joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
-                digests.append(hashlib.sha256(joined.encode()).hexdigest())
-                base.append([{"first": s, "kind": k, "last": e} for s, k, e in spans])
-                found.append([dict(zip(("pattern", "value", "seed", "first", "last"), o)) for o in seen])
-            ids = pa.array(range(number, number + batch.num_rows), pa.int64())
-            number += batch.num_rows
-            yield pa.RecordBatch.from_arrays([
-                ids, batch.column(0), pa.array(counts, pa.list_(pa.int64())), pa.array(digests, pa.string()),
-                pa.array(base, base_type), pa.array(found, found_type),
-            ], names=["row", "doc_id", "counts", "base_sha256", "base", "found"])
-
-    return rows
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 33
+    found_type = pa.list_(pa.struct([
+        ("patterns", pa.list_(pa.string())), ("value", pa.string()), ("seed", pa.bool_()), ("first", pa.int32()), ("last", pa.int32()),
+    ]))
+    base_type = pa.list_(pa.struct([("first", pa.int32()), ("kind", pa.int32()), ("last", pa.int32())]))
+    for batch in batches:
+        counts, digests, base, found = [], [], [], []
+        for text in batch.column(1).to_pylist():
+            spans, seen = occurrences(text or "")
+            counts.append([sum(k == kind for _, k, _ in spans) for kind in range(4)])
+            joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+            digests.append(hashlib.sha256(joined.encode()).hexdigest())
+            base.append([{"first": s, "kind": k, "last": e} for s, k, e in spans])
+            found.append([dict(zip(("patterns", "value", "seed", "first", "last"), o)) for o in seen])
+        ids = pa.array(range(number, number + batch.num_rows), pa.int64())
+        number += batch.num_rows
+        yield pa.RecordBatch.from_arrays([
+            ids, batch.column(0), pa.array(counts, pa.list_(pa.int64())), pa.array(digests, pa.string()),
+            pa.array(base, base_type), pa.array(found, found_type),
+        ], names=["row", "doc_id", "counts", "base_sha256", "base", "found"])
 
 
 def _confident(edges: DataFrame, settings: Bootstrap) -> DataFrame:
@@ -197,11 +226,13 @@ def personal_data(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFra
     an empty table gives an empty result. Of the corpus only counts per pattern and value move between executors.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    read = stored(texts.mapInArrow(_reader(settings.digits), _ROWS), "spans")
+    read = stored(texts.mapInArrow(_read, _ROWS), "spans")
     seen = read.select("row", F.explode("found").alias("o")).select("row", "o.*")
-    edges = stored(seen.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pattern-graph")
+    edges = seen.select(F.explode("patterns").alias("pattern"), "value", "seed")
+    edges = stored(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pattern-graph")
     patterns = stored(_confident(edges, settings), "confident")
-    more = seen.where("NOT seed").join(patterns, "pattern").groupBy("row").agg(F.collect_list(
+    more = seen.where("NOT seed").select("row", "first", "last", F.explode("patterns").alias("pattern"))
+    more = more.join(patterns, "pattern").groupBy("row").agg(F.collect_set(
         F.struct("first", F.lit(4).alias("kind"), "last")
     ).alias("extra"))
     joined = read.drop("found").join(more, "row", "left")

@@ -66,6 +66,16 @@ def test_contexts_find_what_the_checks_refuse(spark):
     assert found[0].spans == "card:17:33" and found[0].n_card == 1 and found[10].spans == ""
 
 
+def test_contexts_find_other_forms_than_the_seeds(spark):
+    texts = [f"tel: +1 ({200 + i}) 555-0{i}92 w{i}" for i in range(5)] + [f"please mail j{i}@mail{i}.example.com today" for i in range(5)]
+    more = ["tel: 974 555 3436 ok", "call tel: (974) 555 3436", "tel:9745553", "please mail jane_doe[at]example today", "please mail jd@intern today"]
+    plain = ["in 12 days", "chapter: 5 ends", "a well-known word", "please read j_5 today"]
+    rows = list(enumerate(texts + more + plain))
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[10 + i] for i in range(5)] == ["context:5:17", "context:10:24", "context:4:11", "context:12:31", "context:12:21"]
+    assert all(found[15 + i] == "" for i in range(4)) and all(found[i].count(":") == 2 and "context" not in found[i] for i in range(10))
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = pii.personal_data(odd_docs(spark)).collect()
     assert len(rows) == 8 and {r.spans for r in rows} == {""}
