@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm import archive, decontaminate, jaccard, language, lines, materialise, pages, pii, topk, unigram
+from netvigil.llm import (
+    archive, decontaminate, jaccard, language, lines, materialise, pages, pii, resampling, topk, unigram,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,13 +57,18 @@ def op10_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_main_text, op2_personal_data, op3_language, op4_unigram, op5_decontaminate, op6_training_order,
-        op7_line_dedup, op8_top_products, op9_jaccard_join, op10_archive,
+        op7_line_dedup, op8_top_products, op9_jaccard_join, op10_archive, op11_resampling,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op7_line_dedup": lines.LINE_SQL, "op8_top_products": topk.TOP_SQL, "op10_archive": archive.ARCHIVE_SQL,
+    "op11_resampling": resampling.RESAMPLING_SQL,
 }
