@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.llm import (
-    archive, decontaminate, jaccard, language, lines, materialise, pages, pii, resampling, topk, unigram,
+    archive, decontaminate, divergence, jaccard, language, lines, materialise, pages, pii, resampling, topk, unigram,
 )
 
 
@@ -61,14 +61,19 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_main_text, op2_personal_data, op3_language, op4_unigram, op5_decontaminate, op6_training_order,
         op7_line_dedup, op8_top_products, op9_jaccard_join, op10_archive, op11_resampling,
+        op12_divergence,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op7_line_dedup": lines.LINE_SQL, "op8_top_products": topk.TOP_SQL, "op10_archive": archive.ARCHIVE_SQL,
-    "op11_resampling": resampling.RESAMPLING_SQL,
+    "op11_resampling": resampling.RESAMPLING_SQL, "op12_divergence": divergence.DIVERGENCE_SQL,
 }
