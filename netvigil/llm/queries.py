@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.llm import (
-    archive, decontaminate, divergence, jaccard, language, lines, materialise, pages, pii, resampling, topk, unigram,
+    archive, decontaminate, divergence, jaccard, language, lines, materialise, packing, pages, pii, resampling, topk, unigram,
 )
 
 
@@ -65,11 +65,17 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergences(_table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path(packing.VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_main_text, op2_personal_data, op3_language, op4_unigram, op5_decontaminate, op6_training_order,
         op7_line_dedup, op8_top_products, op9_jaccard_join, op10_archive, op11_resampling,
-        op12_divergence,
+        op12_divergence, op13_packing,
     )
 }
 
