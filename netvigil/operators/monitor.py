@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from string import Formatter
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netvigil.functions.metrics import merged, partials
 from netvigil.functions.predicates import fires, not_from
 from netvigil.functions.times import bucket_start, event_ms, iso_seconds, utc_text
+from netvigil.operators import holding
 from netvigil.schema import DAY, Monitor
 
 # The payload's fields, the lines of the chat message, and what stands in for absent names.
@@ -71,9 +72,10 @@ def throttle(
 ) -> DataFrame:
     """The rows of the ticks that send: the first, then each one at least ``throttle_ms`` after the last sent.
 
-    Ticks lie on a grid, so what a chunk of time does depends on one of a few entry states:
-    how many grid steps into it the throttle still holds. Every chunk is folded for all of them;
-    a second fold over chunks, one row each, finds the state each really starts from.
+    A tick that comes at least that long after the tick before it always sends, so islands between such gaps are
+    folded apart. Within an island, time is cut into chunks; ticks lie on a grid, so what a chunk does depends on one of a
+    few entry states: how many grid steps into it the throttle still holds. Every chunk is folded once for all of them into
+    one row, and a walk over the few rows of an island finds the state that each chunk really starts from.
     ``chunk_ms``, about a day if not given, must be a multiple of the interval and exceed the throttle.
     """
     steps = max(1, -(-throttle_ms // interval_ms))
@@ -81,49 +83,22 @@ def throttle(
         chunk_ms = interval_ms * max(DAY // interval_ms, steps + 1)
     if chunk_ms % interval_ms or chunk_ms <= throttle_ms:
         raise ValueError("chunk_ms must be a multiple of interval_ms and exceed throttle_ms")
-    hold = F.lit(steps * interval_ms).cast("bigint")
-    interval = F.lit(interval_ms).cast("bigint")
-    chunk = F.col("chunk")
-    row = F.struct("tick", *[c for c in fired.columns if c != "tick" and c not in by])
-    chunks = (
-        fired.withColumn("chunk", bucket_start(F.col("tick"), chunk_ms))
-        .groupBy(*by, "chunk")
-        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    hold, by = steps * interval_ms, list(by)
+    fields = {f.name: f.dataType.simpleString() for f in fired.schema.fields}
+    keys = ", ".join(f"`{c}` {fields[c]}" for c in by)
+    chunked = fired.withColumn("chunk", bucket_start(F.col("tick"), chunk_ms))
+    # Both groupings take whole rows, so Spark shuffles the rows once.
+    chunks = chunked.groupBy(*by, "chunk").applyInArrow(
+        holding.stretch(by, interval_ms, hold),
+        f"{keys}, chunk bigint, first_tick bigint, last_tick bigint, exits array<bigint>",
     )
-
-    def held_until(start: Column) -> Column:
-        return F.aggregate(
-            "rows", start, lambda until, r: F.when(r["tick"] >= until, r["tick"] + hold).otherwise(until)
-        )
-
-    states = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda j: held_until(chunk + j * interval))
-    exits = chunks.select(*by, F.struct(chunk, states.alias("exits")).alias("step"))
-
-    def advance(state: Column, step: Column) -> Column:
-        entry = F.greatest(state["until"], step["chunk"])
-        index = ((entry - step["chunk"]) / interval).cast("int")
-        began = F.struct(step["chunk"].alias("chunk"), entry.alias("entry"))
-        return F.struct(
-            F.get(step["exits"], index).alias("until"), F.concat(state["starts"], F.array(began)).alias("starts")
-        )
-
-    nothing = F.struct(
-        F.lit(None).cast("bigint").alias("until"),
-        F.array().cast("array<struct<chunk:bigint,entry:bigint>>").alias("starts"),
-    )
-    walked = exits.groupBy(*by).agg(F.array_sort(F.collect_list("step")).alias("steps"))
-    entries = walked.select(
-        *by, F.explode(F.aggregate("steps", nothing, advance, lambda state: state["starts"])).alias("began")
-    ).select(*by, "began.chunk", "began.entry")
-
-    def send(state: Column, r: Column) -> Column:
-        free = r["tick"] >= state["until"]
-        sent = F.when(free, F.concat(state["sent"], F.array(r))).otherwise(state["sent"])
-        return F.struct(F.when(free, r["tick"] + hold).otherwise(state["until"]).alias("until"), sent.alias("sent"))
-
-    idle = F.struct(F.col("entry").alias("until"), F.slice("rows", 1, 0).alias("sent"))
-    sends = F.aggregate("rows", idle, send, lambda state: state["sent"])
-    return chunks.join(entries, [*by, "chunk"]).select(*by, F.inline(sends)).select(*fired.columns)
+    earlier = Window.partitionBy(*by).orderBy("chunk")
+    gap = F.col("first_tick") - F.lag("last_tick").over(earlier) >= hold
+    islands = chunks.withColumn("free", F.coalesce(gap, F.lit(True)))
+    islands = islands.withColumn("island", F.count_if("free").over(earlier))
+    entries = islands.groupBy(*by, "island").applyInArrow(holding.walk(by, interval_ms), f"{keys}, chunk bigint, entry bigint")
+    entered = chunked.join(entries, [*by, "chunk"]).select(*chunked.columns, "entry")
+    return entered.groupBy(*by, "chunk").applyInArrow(holding.send(fired.columns, hold), fired.schema)
 
 
 def sent_ticks(events: DataFrame, monitor: Monitor, include_forecast: bool = False) -> DataFrame:
@@ -156,7 +131,11 @@ def payload_columns(monitor: Monitor) -> list[Column]:
 
 def notifications(events: DataFrame, monitor: Monitor, include_forecast: bool = False) -> DataFrame:
     """One row per notification: the tick, the payload's fields, its JSON and the text for people."""
-    sent = sent_ticks(events, monitor, include_forecast)
+    return rendered(sent_ticks(events, monitor, include_forecast), monitor)
+
+
+def rendered(sent: DataFrame, monitor: Monitor) -> DataFrame:
+    """Notification rows of ticks that send; ``sent`` has the tick and the monitor's metrics, batch or continuous."""
     rows = sent.select("tick", *[m.name for m in monitor.metrics], *payload_columns(monitor))
     body = F.to_json(F.struct(*PAYLOAD_FIELDS))
     return rows.withColumn("payload", body).withColumn("text", human_message(F.col("tick")))

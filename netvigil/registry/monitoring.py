@@ -1,12 +1,13 @@
 """Monitors, triggers, throttling and notifications."""
 
 from functools import reduce
+from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.operators import monitor as ops
 from netvigil.registry.common import LOSS, UTIL, register
-from netvigil.schema import CRITICAL_MONITOR, MONITORS, UTILIZATION_MONITOR
+from netvigil.schema import CRITICAL_MONITOR, MONITORS, UTILIZATION_MONITOR, Monitor
 from netvigil.sources.adapter import payload_bodies, telemetry
 
 
@@ -85,29 +86,44 @@ def throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
 ISO = "strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%dT%H:%M:%SZ')"
 
 
-def _notice_sql(sends: str, ticks: str, name: str, trigger: str, severity: str, interval: int, value: str) -> str:
-    return (
-        f"SELECT tick, '{name}' AS monitor_name, '{trigger}' AS trigger_name, '{severity}' AS severity, "
-        f"{ISO.format(ms=f'tick - {interval}')} AS period_start, {ISO.format(ms='tick')} AS period_end, "
-        f"{value} AS value FROM {sends} JOIN {ticks} USING (tick)"
-    )
+def _text_sql(template: str) -> str:
+    """SQL text of a template with ``{column}`` placeholders."""
+    parts = []
+    for text, name, _, _ in Formatter().parse(template):
+        quoted = text.replace("'", "''")
+        parts += ([f"'{quoted}'"] if text else []) + ([f"CAST({name} AS VARCHAR)"] if name else [])
+    return " || ".join(parts)
 
 
-@register(
-    "notifications",
-    SENDS
-    + _notice_sql("us", "ut", UTIL_NAME, UTILIZATION_MONITOR.trigger, "1", 60000, "max_utilization")
-    + " UNION ALL "
-    + _notice_sql("ss", "st", SURGE_NAME, CRITICAL_MONITOR.trigger, "CRITICAL", 120000, "CAST(critical_count AS DOUBLE)"),
-)
+def _notice_sql(sends: str, ticks: str, monitor: Monitor) -> str:
+    """Everything that a notification holds, for the ticks in ``sends``."""
+    fields = ",".join(f"\"{f}\":\"' || {f} || '\"" for f in ops.PAYLOAD_FIELDS)
+    lines = [
+        f"'{ops.TITLE_LINE.format(title='ALERTA NOC')}'", "''", *[_text_sql(line) for line in ops.NAME_LINES],
+        f"'{ops.TIME_LINE}' || strftime(make_timestamp(tick * 1000), '%Y-%m-%d %H:%M:%S UTC')",
+        _text_sql(ops.PERIOD_LINE), f"chr(10) || {_text_sql(ops.NOTE_LINE)}",
+    ]
+    value = monitor.metrics[0 if monitor is CRITICAL_MONITOR else 1].name
+    return f"""SELECT tick, monitor_name, trigger_name, severity, period_start, period_end, message, value,
+  '{{{fields}}}' AS payload, concat_ws(chr(10), {", ".join(lines)}) AS text
+FROM (SELECT tick, '{monitor.name}' AS monitor_name, '{monitor.trigger}' AS trigger_name, '{monitor.severity}' AS severity,
+  {ISO.format(ms=f'tick - {monitor.interval_ms}')} AS period_start, {ISO.format(ms='tick')} AS period_end,
+  {_text_sql(monitor.message)} AS message, CAST({value} AS DOUBLE) AS value FROM {sends} JOIN {ticks} USING (tick))"""
+
+
+def with_value(rows: DataFrame, monitor: Monitor) -> DataFrame:
+    """Notifications of different monitors side by side: the leading metric as ``value``."""
+    value = monitor.metrics[0 if monitor is CRITICAL_MONITOR else 1].name
+    return rows.withColumn("value", F.col(value).cast("double")).drop(*[m.name for m in monitor.metrics])
+
+
+NOTICES = _notice_sql("us", "ut", UTILIZATION_MONITOR) + " UNION ALL " + _notice_sql("ss", "st", CRITICAL_MONITOR)
+
+
+@register("notifications", SENDS + NOTICES)
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = telemetry(spark, sf_dir)
-    fields = [f for f in ops.PAYLOAD_FIELDS if f != "message"]
-    made = []
-    for monitor, value in ((UTILIZATION_MONITOR, "max_utilization"), (CRITICAL_MONITOR, "critical_count")):
-        rows = ops.notifications(events, monitor)
-        made.append(rows.select("tick", *fields, F.col(value).cast("double").alias("value")))
-    return reduce(DataFrame.unionByName, made)
+    return reduce(DataFrame.unionByName, [with_value(ops.notifications(events, m), m) for m in MONITORS])
 
 
 STAMP = "strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')"

@@ -13,7 +13,7 @@ from netvigil.functions.times import event_ms
 from netvigil.registry.common import LOSS, fit_sql, points_sql, register
 from netvigil.operators import detect
 from netvigil.registry.detection import SPIKE_SQL, SURGE_SCORED, SURGE_SQL
-from netvigil.registry.monitoring import SURGE_NAME, SURGE_TICKS, UTIL_NAME, UTIL_TICKS, sends_sql
+from netvigil.registry.monitoring import NOTICES, SURGE_NAME, SURGE_TICKS, UTIL_NAME, UTIL_TICKS, sends_sql, with_value
 from netvigil.registry.tables import DOCS
 from netvigil.schema import CRITICAL_MONITOR, CRITICAL_SURGE, MONITORS, UTILIZATION_MONITOR, UTILIZATION_SPIKE
 from netvigil.session import new_path
@@ -144,6 +144,22 @@ def stream_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sends)
 
 
+@register(
+    "stream_notifications",
+    UTIL_TICKS + SURGE_TICKS + UTIL_CLOSED + SURGE_CLOSED
+    + sends_sql("uo", "us", 300000) + sends_sql("so", "ss", 600000) + NOTICES,
+)
+def stream_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From events to payloads and texts, by two jobs for each monitor."""
+    made = []
+    for monitor in MONITORS:
+        ticks, notices, checkpoint = (new_path(spark, f"alerts-{part}") for part in ("ticks", "notices", "checkpoint"))
+        _, last = jobs.start_alerts(event_stream(spark, sf_dir), monitor, ticks, notices, checkpoint, once=True)
+        last.awaitTermination()
+        made.append(with_value(spark.read.parquet(notices), monitor))
+    return reduce(DataFrame.unionByName, made)
+
+
 @register(
     "stream_forecast",
     """, newest AS (SELECT max(ts_ms) AS ms FROM ev)

@@ -61,3 +61,9 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
 def exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A folder that a stream can follow before anything is in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)

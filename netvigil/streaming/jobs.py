@@ -6,6 +6,8 @@ expressions with the batch operators; the start functions attach sinks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -15,8 +17,9 @@ from netvigil.functions.times import event_ms
 from netvigil.operators import forest
 from netvigil.operators.detect import FOREST, entity_of
 from netvigil.operators.forecast import SETTINGS, forecast
-from netvigil.operators.monitor import monitored, tick_range, trigger_eval
+from netvigil.operators.monitor import monitored, rendered, tick_range, trigger_eval
 from netvigil.schema import MINUTE, Detector, ForecastSettings, ForestSettings, Monitor
+from netvigil.session import make_folder
 from netvigil.sources.ingest import batch_counts, parse_documents
 from netvigil.sources.tables import read_events, write_daily, write_forecast
 from netvigil.streaming import state
@@ -110,18 +113,49 @@ def monitor_stream(
     return trigger_eval(metrics.select(F.unix_millis("tick").alias("tick"), *names), monitor)
 
 
-def throttle_stream(ticks: DataFrame, monitor: Monitor) -> DataFrame:
-    """Firing ticks that send; the time until which a monitor is held is kept as state.
+def throttle_stream(ticks: DataFrame, monitor: Monitor, carried: Sequence[str] = ()) -> DataFrame:
+    """Firing ticks that send, with the columns ``carried``; the time until which a monitor is held is kept as state.
 
     ``ticks`` follows the table that the monitor's closed ticks are appended to: Spark takes no
     arbitrary state behind an aggregation of the same query.
     """
-    fired = ticks.where("fired").select(F.lit(monitor.name).alias("monitor"), "tick")
+    fired = ticks.where("fired").select(F.lit(monitor.name).alias("monitor"), "tick", *carried)
     return fired.groupBy("monitor").applyInPandasWithState(
-        state.throttler(monitor.throttle_ms), "monitor string, tick bigint", "until bigint", "append", "NoTimeout"
+        state.throttler(monitor.throttle_ms, fired.columns), fired.schema, "until bigint", "append", "NoTimeout"
     )
 
 
+def notification_stream(ticks: DataFrame, monitor: Monitor) -> DataFrame:
+    """Notifications of closed ticks: payload and text, as the batch job renders them, behind the throttle's state."""
+    return rendered(throttle_stream(ticks, monitor, [m.name for m in monitor.metrics]), monitor)
+
+
+def start_alerts(
+    events: DataFrame,
+    monitor: Monitor,
+    ticks: str,
+    notices: str,
+    checkpoint: str,
+    lateness_ms: int = MINUTE,
+    once: bool = False,
+    every_ms: int | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """A monitor from events to notifications: one job appends closed ticks to the table ``ticks``, the other follows it and
+    appends payloads and texts to ``notices``. With ``once`` the first has ended before the second starts.
+
+    The table ``ticks`` need not exist. A restarted job goes on where its checkpoint says, and the throttle with its state.
+    """
+    closed = monitor_stream(events, monitor, lateness_ms)
+    first = start_append(closed, ticks, f"{checkpoint}/ticks", once, every_ms or monitor.interval_ms)
+    if once:
+        first.awaitTermination()
+    spark = events.sparkSession
+    make_folder(spark, ticks)
+    followed = spark.readStream.schema(closed.schema).parquet(ticks)
+    sent = notification_stream(followed, monitor)
+    return first, start_append(sent, notices, f"{checkpoint}/notices", once, every_ms or monitor.interval_ms)
+
+
 def detect_stream(features: DataFrame, detector: Detector, settings: ForestSettings = FOREST) -> DataFrame:
     """Scores of newly closed windows, equal to the batch scores; each entity keeps its recent windows.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,19 +13,19 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def throttler(throttle_ms: int) -> Callable:
-    """Lets a tick through when the last one sent lies at least ``throttle_ms`` back; keeps that time."""
+def throttler(throttle_ms: int, columns: Sequence[str] = ("monitor", "tick")) -> Callable:
+    """Lets a tick's row through when the last one sent lies at least ``throttle_ms`` back; keeps that time."""
 
     def step(key: tuple, batches: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         until = state.get[0] if state.exists else None
-        sent = []
-        for tick in np.sort(np.concatenate([b["tick"].to_numpy(dtype=np.int64) for b in batches])):
+        rows, sent = pd.concat(list(batches)).sort_values("tick", kind="stable"), []
+        for place, tick in enumerate(rows["tick"].tolist()):
             if until is None or tick >= until:
-                sent.append(int(tick))
-                until = int(tick) + throttle_ms
+                sent.append(place)
+                until = tick + throttle_ms
         if until is not None:
             state.update((until,))
-        yield pd.DataFrame({"monitor": [key[0]] * len(sent), "tick": np.array(sent, dtype=np.int64)})
+        yield rows.iloc[sent][list(columns)]
 
     return step
 

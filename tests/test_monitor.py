@@ -127,3 +127,33 @@ def test_malformed_payloads_are_the_message(spark):
     rows = sorted(dicts(ops.parse_payloads(raw)), key=lambda r: r["i"])
     assert [r["message"] for r in rows] == [*bodies[:5], ""]
     assert {r["monitor_name"] for r in rows} == {"Monitor"}
+
+
+def test_rows_that_send_keep_their_columns_and_types(spark):
+    fired = spark.createDataFrame(
+        [("m", "h1", BASE + t * MINUTE, None if t % 3 else t, [t], b"x") for t in range(0, 50, 2)],
+        "monitor string, hostname string, tick bigint, maybe int, list array<int>, raw binary",
+    )
+    sends = ops.throttle(fired, MINUTE, 5 * MINUTE, by=("monitor", "hostname"), chunk_ms=10 * MINUTE)
+    assert sends.schema == fired.schema
+    assert sorted(r["list"][0] for r in sends.collect()) == [0, 6, 12, 18, 24, 30, 36, 42, 48]
+    assert all(r["maybe"] == (r["list"][0] if r["list"][0] % 3 == 0 else None) for r in sends.collect())
+
+
+def test_islands_do_not_wait_for_each_other(spark):
+    """A gap as long as the throttle starts anew; one a minute shorter does not."""
+    ticks = [0, 4, 8, 13, 17, 100, 104, 109, 2000, 2001]
+    fired = spark.createDataFrame([("m", BASE + t * MINUTE) for t in ticks], "monitor string, tick bigint")
+    for chunk in (6, 60, 1440):
+        sends = ops.throttle(fired, MINUTE, 5 * MINUTE, chunk_ms=chunk * MINUTE)
+        assert sorted((r["tick"] - BASE) // MINUTE for r in sends.collect()) == [0, 8, 13, 100, 109, 2000]
+
+
+def test_throttled_events_are_scanned_once(spark, sf_dir):
+    from netvigil.sources.adapter import telemetry
+
+    frame = ops.notifications(telemetry(spark, sf_dir), UTILIZATION_MONITOR)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    final = plan[plan.index("Final Plan"):]
+    assert final.count("FileScan parquet") == 1

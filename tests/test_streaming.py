@@ -158,3 +158,35 @@ def test_throttle_state_over_random_batches(spark):
             until = t + 5 * MINUTE
     sends = run(spark, jobs.throttle_stream(followed.stream(), UTILIZATION_MONITOR), "sends")
     assert [r[0] for r in rows(sends, "tick")] == wanted
+
+
+@pytest.mark.parametrize("monitor", [UTILIZATION_MONITOR, CRITICAL_MONITOR], ids=lambda m: m.name)
+def test_notifications_equal_batch_over_restarts(spark, events, monitor):
+    """Payloads and texts of the continuous chain, with every part of the input read by jobs that are started anew."""
+    followed = Replay(spark, events.schema)
+    ticks, notices, checkpoint = (new_path(spark, f"alerts-{part}") for part in ("ticks", "notices", "checkpoint"))
+    for part in range(4):
+        low, high = BASE + part * 180 * MINUTE, BASE + (part + 1) * 180 * MINUTE
+        followed.arrive(events.where((F.unix_millis("timestamp") >= low) & (F.unix_millis("timestamp") < high)))
+        _, last = jobs.start_alerts(followed.stream(), monitor, ticks, notices, checkpoint, once=True)
+        last.awaitTermination()
+    closed = spark.read.parquet(ticks).agg(F.max("tick")).first()[0]
+    batch = ops.notifications(events, monitor).where(F.col("tick") <= closed)
+    made = spark.read.parquet(notices)
+    assert made.count() > 1 and sorted(made.columns) == sorted(batch.columns)
+    assert rows(made, *batch.columns) == rows(batch)
+
+
+def test_alerts_wait_for_ticks_that_are_not_there_yet(spark):
+    frame = event_rows(spark, [{"ms": BASE, "hostname": "h", "utilization_pct": 99}])
+    followed = Replay(spark, frame.schema)
+    ticks, notices, checkpoint = (new_path(spark, f"quiet-{part}") for part in ("ticks", "notices", "checkpoint"))
+    followed.arrive(frame)
+    for _ in range(2):
+        _, last = jobs.start_alerts(followed.stream(), UTILIZATION_MONITOR, ticks, notices, checkpoint, once=True)
+        last.awaitTermination()
+    assert spark.read.schema("tick bigint").parquet(notices).count() == 0
+    followed.arrive(event_rows(spark, [{"ms": BASE + 60 * MINUTE, "hostname": "h", "utilization_pct": 1}]))
+    _, last = jobs.start_alerts(followed.stream(), UTILIZATION_MONITOR, ticks, notices, checkpoint, once=True)
+    last.awaitTermination()
+    assert [r["tick"] for r in spark.read.parquet(notices).collect()] == [BASE]
