@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from netvigil.llm.common import private
 from netvigil.session import stored
 
-#: A line goes from a host's pages when more than this share of them, and at least so many, hold it.
-RATIO, LEAST_PAGES = 0.1, 5
+#: A line goes from a host's pages when more than this share of them, and more than one, hold it.
+RATIO, LEAST_PAGES = 0.1, 2
 
 
 def _lines(text: Column) -> Column:
@@ -48,7 +48,8 @@ def drop_boilerplate(
     Lines are what line feeds separate, compared without outer spaces; empty lines are neither counted nor dropped.
     A line counts once per row however often it repeats there; each row is a page, repeated rows too. Rows without
     a host are a host of their own. A null text stays null and counts as a page; a text of nothing but boilerplate
-    becomes empty. Hosts with fewer than ``least_pages`` pages keep everything.
+    becomes empty. Hosts with fewer than ``least_pages`` pages keep everything. Texts of any length are split whole; an
+    empty table stays empty.
     """
     lines, kept = private(pages, "lines_of_page"), private(pages, "lines_kept")
     done = _marked(pages, host, text, ratio, least_pages, lines, kept)

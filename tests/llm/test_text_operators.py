@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from netvigil.llm import language, lines, materialise, pii, unigram
+from conftest import ROOT
+
+from netvigil.llm import decontaminate, language, lines, materialise, pii, unigram
 from netvigil.session import new_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -172,7 +174,7 @@ def test_tokens_of_odd_rows(spark):
 
 
 def test_lines_of_odd_rows(spark):
-    made = lines.drop_boilerplate(odd_docs(spark))
+    made = lines.drop_boilerplate(odd_docs(spark), least_pages=5)
     assert made.columns == odd_docs(spark).columns
     assert sorted(map(str, made.select("doc_id", "text", "lang", "slot").collect())) == sorted(
         map(str, odd_docs(spark).select("doc_id", "text", "lang", "slot").collect())
@@ -186,7 +188,7 @@ def test_ratio_is_relative_to_the_host(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in lines.line_counts(docs).collect()}
     assert got[3] == ("body 3\n\nend 3", 5, 2)
-    assert got[100] == ("menu", 1, 0) and got[300] == ("", 1, 1) and got[400] == ("menu", 1, 0)
+    assert got[100] == ("menu", 1, 0) and got[300] == ("", 1, 1) and got[400] == ("", 1, 1)
 
 
 # --- training order ----------------------------------------------------------------------------------------------
@@ -224,3 +226,47 @@ def test_no_sequences_no_shards(spark):
     assert materialise.training_order(odd_docs(spark).limit(0)).collect() == []
     assert {r.doc_id for r in materialise.training_order(odd_docs(spark)).collect()} == {None, 3, 4, 5}
     assert odd_docs(spark).where(F.length("text") > 0).count() == 5
+
+
+def test_lines_go_by_the_ratio_alone(spark):
+    """Also on hosts of few pages; a host of one page keeps its lines."""
+    rows = [(i, f"menu\nown {i}" if i < 4 else f"own {i}", "all" if i < 4 else "half") for i in range(8)]
+    rows += [(8 + i, "menu\nhalf" if i < 4 else f"other {i}", "half") for i in range(4)] + [(20, "only\npage", "one")]
+    made = lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    found = {r["doc_id"]: r["text"] for r in made.collect()}
+    assert [found[i] for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert [found[8 + i] for i in range(4)] == [""] * 4 and found[20] == "only\npage"
+
+
+def test_tasks_need_no_package(spark, sf_dir, tmp_path):
+    """The corpus operators run where Python workers can't import this package."""
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+import os
+os.environ.pop("PYTHONPATH", None)
+from netvigil.session import local_session
+spark = local_session(2, **{{"spark.executorEnv.PYTHONPATH": "", "spark.driver.memory": "2g"}})
+from netvigil.llm.queries import QUERIES
+for name in ("op3_language", "op4_unigram", "op5_decontaminate", "op11_resampling", "op12_divergence", "op13_packing"):
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 0
+    print("ran", name)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert done.stdout.count("ran") == 6, done.stderr[-3000:]
+
+
+def test_an_item_is_found_whatever_the_others_are(spark):
+    """What is looked at for an item follows from its own length, not from the longest item of the table."""
+    item = "where did the old river turn to the east of town. it turned at the mill of the miller"
+    apart = item.replace("town. it", "town " + "filler words that say nothing " * 800 + " it")
+    docs = spark.createDataFrame([(1, apart), (2, "lead in " + item + " and out")], "doc_id long, text string")
+    long = " ".join(f"unrelated{i}" for i in range(4000))
+    few, many = (
+        spark.createDataFrame(rows, "item_id long, text string") for rows in ([(7, item)], [(7, item), (8, long)])
+    )
+    found = [sorted(r[:2] for r in decontaminate.contaminations(docs, items).collect()) for items in (few, many)]
+    assert found[0] == found[1] == [(2, 7)]
