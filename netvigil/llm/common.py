@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.session import stored
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def numbered(rows: DataFrame, order: Sequence[Column], name: str, label: str) -> DataFrame:
     """``rows`` with a column ``name``: 0, 1, 2 ... in the given order, in no single task.
@@ -80,45 +85,38 @@ def partitions(frame: DataFrame) -> int:
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Bits of a membership filter for each id, and for all at most (32 MB when broadcast).
-BITS_EACH, BITS = 16, 1 << 28
+#: Ids that are broadcast at most (16 MB); a longer list is joined by shuffling.
+LISTED = 1 << 21
 
 
 def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` whose ``column`` is not among ``ids`` (one column of 64-bit integers, none null); null stays.
+    """``rows`` whose ``column`` is not among ``ids`` (one column of 64-bit integers, none null); null stays."""
+    wanted = private(rows, "wanted")
+    ids = stored(ids.toDF(wanted), "ids")
+    listed = F.broadcast(ids) if ids.count() <= LISTED else ids
+    return rows.join(listed, F.col(f"`{column}`").cast("long") == F.col(wanted), "left_anti")
 
-    A broadcast bitmap of at most ``BITS`` bits says of most rows that they stay; only the rest is shuffled and joined
-    exactly. With more ids than the bitmap can tell apart, more rows are shuffled and the result is the same.
-    """
-    chunk, words, wanted = private(rows, "chunk"), private(rows, "words"), private(rows, "wanted")
-    ids = ids.toDF(wanted)
-    n = ids.count()
-    if not n:
-        return rows
-    bits = 1 << min(BITS.bit_length() - 1, max(15, (n * BITS_EACH).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(bits))
-    slots = ids.select(place(wanted).alias("p")).select(
-        F.floor(F.col("p") / 64).alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b")
-    ).groupBy("w").agg(F.bit_or("b").alias("b"))
-    # 512 words a chunk; absent words are zero.
-    chunks = slots.select(F.floor(F.col("w") / 512).alias(chunk), (F.col("w") % 512).alias("w"), "b").groupBy(chunk).agg(
-        F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m")
-    ).select(chunk, F.transform(F.sequence(F.lit(0), F.lit(511)), lambda i: F.coalesce(
-        F.element_at("m", i.cast("long")), F.lit(0).cast("long")
-    )).alias(words))
-    chunks = stored(chunks, "membership")
-    key = f"`{column}`"
-    flagged = rows.join(
-        F.broadcast(chunks), F.floor(F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits)) / 32768) == F.col(chunk), "left"
-    )
-    word = F.element_at(words, (F.floor(place(key) / 64) % 512 + 1).cast("int"))
-    bit = F.when(F.col(key).isNull(), F.lit(0)).otherwise(
-        F.coalesce(F.call_function("getbit", word, (place(key) % 64).cast("int")).cast("int"), F.lit(0))
-    )
-    names = [f"`{c}`" for c in rows.columns]
-    stay = flagged.where(bit == 0).select(*names)
-    maybe = flagged.where(bit == 1).select(*names)
-    return stay.unionByName(maybe.join(ids, F.col(key).cast("long") == F.col(wanted), "left_anti"))
+
+#: Bytes of an Arrow batch. Spark's own default is 64 MB, of which a task holds several with what is made of them.
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches that are bounded in bytes: rows of this package are texts of any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
+class Sent:
+    """A value for tasks, broadcast as bytes that hold its classes too: executors need not have this package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        """The value, unpacked anew at each call: a task calls it once."""
+        return pickle.loads(self._bytes.value)
 
 
 def private(frame: DataFrame, name: str) -> str:

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import private
+from netvigil.llm.common import Sent, private
 from netvigil.llm.shingles import word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -91,8 +91,14 @@ def _ngrams(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(total)
 
 
+def _length_class(words: np.ndarray) -> int:
+    """The power of two, 32 at least, that an item's words fit in: what is looked at for an item depends on it alone."""
+    return max(32, 1 << (len(words) - 1).bit_length())
+
+
 def build_index(items: list[tuple[int, str]], frequency: dict[int, int], total: int, mean: float) -> Index:
-    """The index of one shard. ``frequency``: items of the whole table that hold a term, by the term's hash."""
+    """The index of one shard's items of one length class, whose size the passages follow. ``frequency``: items of the whole
+    table that hold a term, by the term's hash."""
     words = _hashes([text for _, text in items])
     postings: dict[int, list[tuple[int, float]]] = {}
     for number, own in enumerate(words):
@@ -124,7 +130,7 @@ def build_index(items: list[tuple[int, str]], frequency: dict[int, int], total:
         terms, starts, numbers, weights, np.array([max(w for _, w in r) for r in rows]),
         np.array(block_starts), np.array(last, np.int64), np.array(top), [i for i, _ in items],
         [_ngrams(w, 3) for w in _hashes([q for q, _ in parts])], [_ngrams(w, 2) for w in _hashes([a for _, a in parts])],
-        max(64, 2 * max((len(w) for w in words), default=0)), size, range_top, small,
+        2 * max(map(_length_class, words), default=0), size, range_top, small,
     )
 
 
@@ -192,15 +198,25 @@ def _overlap(wanted: np.ndarray, held: np.ndarray) -> float:
     return 1.0 if not len(wanted) else float(np.isin(wanted, held).mean())
 
 
-def _passages(index: Index, column: pa.Array, limits: Limits) -> Iterator[tuple[int, int, float, float, float]]:
-    """(row, item, score, question overlap, answer overlap) of every retrieved passage."""
-    width, stride = index.window, index.window // 2
+def _passages(shard: list[Index], column: pa.Array, limits: Limits) -> Iterator[tuple[int, int, float, float, float]]:
+    """(row, item's id, score, question overlap, answer overlap) of every retrieved passage; texts are hashed once."""
     for row, words, ends in word_hashes(column, letters=True):
+        for index in shard:
+            for text, item, *values in _retrieved(index, words, ends, limits):
+                yield row + text, index.item_ids[item], *values
+
+
+def _retrieved(
+    index: Index, words: np.ndarray, ends: np.ndarray, limits: Limits
+) -> Iterator[tuple[int, int, float, float, float]]:
+    """(text, item, score, question overlap, answer overlap) of texts given by their words' hashes."""
+    width, stride = index.window, index.window // 2
+    if len(words):
         known = np.flatnonzero(index.filter[(words & np.uint64(0xFFFF)).astype(np.int64)])
         place = np.minimum(np.searchsorted(index.terms, words[known]), len(index.terms) - 1)
         hit = index.terms[place] == words[known]
         known, place = known[hit], place[hit]
-        # Windows are two steps long, twice the longest item, and overlap by half: one of them holds any copy whole.
+        # Windows are two steps long, twice the class of the items, and overlap by half: one of them holds any copy whole.
         sizes = np.diff(ends)
         steps = -(-sizes // stride)
         windows = np.where(sizes > 0, np.maximum(1, steps - 1), 0)
@@ -236,7 +252,7 @@ def _passages(index: Index, column: pa.Array, limits: Limits) -> Iterator[tuple[
                     grams = {n: _ngrams(own, n) for n in (1, 2, 3)}
                 question, answer = index.questions[item], index.answers[item]
                 held = np.concatenate(list(grams.values()))
-                yield row + int(text[w]), item, score, _overlap(question, held), _overlap(answer, held)
+                yield int(text[w]), item, score, _overlap(question, held), _overlap(answer, held)
 
 
 PAIR = pa.schema([
@@ -245,8 +261,9 @@ PAIR = pa.schema([
 ])
 
 
-def _shards(items: DataFrame) -> Iterator[Index]:
-    """Index shards one after another; item texts reach the driver a shard at a time."""
+def _shards(items: DataFrame) -> Iterator[list[Index]]:
+    """Index shards one after another, each an index for every length class in it; item texts reach the driver a shard at a
+    time. All classes of a shard are searched in one pass over the documents."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
 
@@ -271,9 +288,13 @@ def _shards(items: DataFrame) -> Iterator[Index]:
         wanted = own.mapInArrow(terms, "term long, size long").select("term").distinct()
         frequency = pairs.join(wanted, "term", "left_semi").groupBy("term").count().collect()
         texts = [(r[0], r[1]) for r in own.collect()]
-        texts = [t for t, w in zip(texts, _hashes([x for _, x in texts])) if len(w)]
-        if texts:
-            yield build_index(sorted(texts), {r[0] % (1 << 64): r[1] for r in frequency}, total, size / total)
+        classes: dict[int, list[tuple[int, str]]] = {}
+        for item, words in zip(texts, _hashes([x for _, x in texts])):
+            if len(words):
+                classes.setdefault(_length_class(words), []).append(item)
+        by_term = {r[0] % (1 << 64): r[1] for r in frequency}
+        if classes:
+            yield [build_index(sorted(classes[k]), by_term, total, size / total) for k in sorted(classes)]
 
 
 def contaminations(docs: DataFrame, items: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -291,15 +312,16 @@ def contaminations(docs: DataFrame, items: DataFrame, limits: Limits = Limits())
     texts = texts.where("doc_id IS NOT NULL")
     ddl = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     found = spark.createDataFrame([], ddl)
-    for index in _shards(items):
-        shared = spark.sparkContext.broadcast(index)
+    for shard in _shards(items):
+        shared = Sent(spark, shard)
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            indexes = shared.value
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 best: dict[tuple[int, int], tuple[float, float, float]] = {}
-                for row, item, *values in _passages(shared.value, batch.column(1), limits):
-                    key = ids[row], shared.value.item_ids[item]
+                for row, item, *values in _passages(indexes, batch.column(1), limits):
+                    key = ids[row], item
                     if values[1] >= limits.question and values[2] >= limits.answer:
                         best[key] = max(best.get(key, (0.0, 0.0, 0.0)), tuple(values))
                 out = [(*key, *values) for key, values in best.items()]
@@ -318,13 +340,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, limits: Limits = Limits())
     Judges each row as ``contaminations`` does, rows without doc_id included. Null and empty texts stay.
     """
     name = private(docs, "plain_text")
-    for index in _shards(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for shard in _shards(items):
+        shared = Sent(docs.sparkSession, shard)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            indexes = shared.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for row, _, _, question, answer in _passages(shared.value, batch.column(batch.num_columns - 1), limits):
+                for row, _, _, question, answer in _passages(indexes, batch.column(batch.num_columns - 1), limits):
                     if question >= limits.question and answer >= limits.answer:
                         keep[row] = False
                 yield batch.filter(pa.array(keep)).select(range(batch.num_columns - 1))

@@ -15,11 +15,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import crc_mod, private
+from netvigil.llm.common import Sent, crc_mod, private
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -234,17 +235,14 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(width, families, languages, machines)
 
 
-def _predictor(shared, text_at: int):
-    def rows(batch: pa.RecordBatch) -> tuple[list[str], list[float]]:
-        names: list[str] = []
-        scores: list[float] = []
-        for made, letter in features(batch.column(text_at).to_pylist(), shared.value.width):
-            some, sure = shared.value.predict(made, letter)
-            names += some
-            scores += sure.tolist()
-        return names, scores
-
-    return rows
+def _predicted(model: Model, texts: pa.Array) -> tuple[list[str], list[float]]:
+    names: list[str] = []
+    scores: list[float] = []
+    for made, letter in features(texts.to_pylist(), model.width):
+        some, sure = model.predict(made, letter)
+        names += some
+        scores += sure.tolist()
+    return names, scores
 
 
 def held_out(doc_id: Column) -> Column:
@@ -264,12 +262,12 @@ def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     without doc_id is neither held out nor learned from. Repeated rows are predicted alike; the score is the product
     of how sure both steps are, from 0 to 1.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(_learnable(docs), settings))
-    predict = _predictor(model, 2)
+    shared = Sent(docs.sparkSession, fit(_learnable(docs), settings))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            names, scores = predict(batch)
+            names, scores = _predicted(model, batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -283,16 +281,21 @@ def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def keep_identified(docs: DataFrame, settings: Settings = Settings(), least_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose text has a language, with all their columns; nothing is shuffled.
 
-    Rejected are texts that are ``und`` (null, or without a letter) and those below ``least_score``.
+    Rejected are texts that are ``und`` (null, or without a letter) and those below ``least_score``. A kept row without
+    ``lang`` gets the predicted one. Without rows that teach a language every text is ``und``; very long texts are read
+    whole; repeated rows are judged alike; an empty table stays empty.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(_learnable(docs), settings))
-    name = private(docs, "plain_text")
-    predict = _predictor(model, len(docs.columns))
+    shared = Sent(docs.sparkSession, fit(_learnable(docs), settings))
+    name, lang_at = private(docs, "plain_text"), [c.lower() for c in docs.columns].index("lang")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            names, scores = predict(batch)
+            names, scores = _predicted(model, batch.column(batch.num_columns - 1))
             keep = [n != UNDETERMINED and s >= least_score for n, s in zip(names, scores)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(range(batch.num_columns - 1))
+            columns = batch.columns[:-1]
+            columns[lang_at] = pc.coalesce(columns[lang_at], pa.array(names, columns[lang_at].type))
+            made = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield made.filter(pa.array(keep, pa.bool_()))
 
     return docs.withColumn(name, F.col("text").cast("string")).mapInArrow(rows, docs.schema)

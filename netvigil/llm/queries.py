@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from netvigil.llm import (
     archive, decontaminate, divergence, jaccard, language, lines, materialise, packing, pages, pii, resampling, topk, unigram,
 )
+from netvigil.llm.common import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

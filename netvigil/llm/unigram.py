@@ -20,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netvigil.llm.common import Sent
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MARK = "▁"
@@ -285,7 +287,7 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY, keep_text: bool =
     whose size is fixed, is read on the driver and broadcast.
     """
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load_pieces(path))
+    shared = Sent(spark, load_pieces(path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
