@@ -7,34 +7,44 @@ the columns of documents, further ones included.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netvigil.llm import decontaminate, jaccard, language, lines, unigram
+from netvigil.llm.common import small_batches
 from netvigil.session import new_path
 
 
+def _bounded(docs: DataFrame) -> DataFrame:
+    """The documents, in a session that hands them to Python in batches of bounded size."""
+    small_batches(docs.sparkSession)
+    return docs
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose text has no language (null or without a letter)."""
-    return language.keep_identified(docs)
+    """Drops documents whose text has no language (null or without a letter); a missing ``lang`` becomes the predicted one."""
+    return language.keep_identified(_bounded(docs))
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that are boilerplate of their source from the texts; n_chars stays that of the table."""
-    return lines.drop_boilerplate(docs)
+    """Drops lines that are boilerplate of their source from the texts; n_chars, where it is a number, follows."""
+    kept = lines.drop_boilerplate(_bounded(docs))
+    kind = dict(kept.dtypes).get("n_chars")
+    return kept.withColumn("n_chars", F.length("text").cast(kind)) if kind in ("int", "bigint") else kept
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group linked by shingle similarity."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(_bounded(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a test item of the table ``benchmark``."""
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.decontaminate(_bounded(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
-    return unigram.encode_documents(docs, keep_text=False).drop("decoded")
+    return unigram.encode_documents(_bounded(docs), keep_text=False).drop("decoded")
 
 
 STAGES = [
