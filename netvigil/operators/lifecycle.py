@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netvigil.functions.times import event_ms, partition_date
 from netvigil.schema import Retention
-from netvigil.sources.tables import PARTITIONS, TABLE_SCHEMA
+from netvigil.sources.tables import PARTITIONS, TABLE_SCHEMA, WHOLE_DAY
 
 POLICY = Retention()
 STAGED, REPLACED = "_compacting-", "_replaced-"
@@ -34,6 +34,31 @@ def partition_inventory(events: DataFrame, as_of: date) -> DataFrame:
     return grouped.withColumn("age_days", partition_age(as_of))
 
 
+def stored_inventory(spark: SparkSession, root: str, as_of: date, generations: bool = False) -> DataFrame:
+    """``partition_inventory`` of a stored table, or one row for each generation of a day.
+
+    Counts and bounds come from the footers of the files; no row is read. For that the session gets
+    ``spark.sql.parquet.aggregatePushdown``, which only concerns reads by Spark's newer file source, as this one is.
+    """
+    sources = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(sources)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(sources, ",".join(name for name in before.split(",") if name != "parquet"))
+    try:
+        table = spark.read.schema(TABLE_SCHEMA).parquet(root)
+    finally:
+        spark.conf.set(sources, before)
+    # Footers answer for files, and files lie in one partition each.
+    pushed = table.groupBy(*PARTITIONS).agg(
+        F.count("*").alias("docs"), F.min("event_ms").alias("first_ms"), F.max("event_ms").alias("last_ms")
+    )
+    keys = ["source_index", "generation"] if generations else ["source_index"]
+    grouped = pushed.groupBy(*keys).agg(
+        F.sum("docs").alias("docs"), F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms")
+    )
+    return grouped.withColumn("age_days", partition_age(as_of))
+
+
 def lifecycle_state(inventory: DataFrame, policy: Retention = POLICY) -> DataFrame:
     """Adds ``state``: hot, warm or delete by age."""
     return inventory.withColumn("state", state_of(F.col("age_days"), policy))
@@ -95,12 +120,12 @@ def compact_warm(spark: SparkSession, root: str, as_of: date, policy: Retention
     files, at = _folders(spark, root)
     _restore(files, at)
     days = [name for name in _names(files, at()) if name.startswith("source_index=")]
-    done = [name.partition("=")[2] for name in days if _names(files, at(name)) == ["batch=compacted"]]
+    done = [name.partition("=")[2] for name in days if _names(files, at(name)) == ["generation=compacted"]]
     run = uuid.uuid4().hex
     staged, replaced = f"{STAGED}{run}", f"{REPLACED}{run}"
     table = spark.read.schema(TABLE_SCHEMA).parquet(root)
     warm = table.where((state_of(partition_age(as_of), policy) == "warm") & ~F.col("source_index").isin(done))
-    warm = warm.withColumn("batch", F.lit("compacted"))
+    warm = warm.withColumns({name: F.lit("compacted") for name in ("generation", "batch")}).withColumn("hour", F.lit(WHOLE_DAY))
     writer = warm.hint("rebalance", "source_index").write.partitionBy(*PARTITIONS)
     writer.option("compression", "zstd").parquet(at(staged).toString())
     files.mkdirs(at(replaced))
@@ -118,12 +143,11 @@ def compact_warm(spark: SparkSession, root: str, as_of: date, policy: Retention
 def retention(
     spark: SparkSession, root: str, as_of: date, policy: Retention = POLICY, apply: bool = False
 ) -> DataFrame:
-    """The retention plan of a table; with ``apply`` also drops the expired partitions' folders.
+    """The retention plan of a table, from file footers; with ``apply`` also drops the expired partitions' folders.
 
     Only partition names reach the driver. The plan is fixed before anything is dropped.
     """
-    table = spark.read.schema(TABLE_SCHEMA).parquet(root)
-    plan = retention_plan(partition_inventory(table, as_of), policy)
+    plan = retention_plan(stored_inventory(spark, root, as_of), policy)
     if not apply:
         return plan
     decided = plan.collect()

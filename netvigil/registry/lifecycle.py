@@ -59,3 +59,34 @@ def compact_warm(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.retention_plan(_inventory(spark, sf_dir))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    """A table whose events lie under their uncompressed days, with uncompressed times."""
+    root = new_path(spark, "lifecycle")
+    write_daily(raw_daily(spark, sf_dir), root, F.col("timestamp"), rebalance=True)
+    return root
+
+
+@register("stored_lifecycle", INVENTORY + "SELECT * FROM st")
+def stored_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory and states of stored partitions, from file footers."""
+    return ops.lifecycle_state(ops.stored_inventory(spark, _stored(spark, sf_dir), AS_OF))
+
+
+@register(
+    "stored_retention",
+    INVENTORY + """SELECT source_index, docs, age_days,
+  'Índice ' || source_index || ' será excluído por retenção de 30 dias.' AS notice FROM st WHERE state = 'delete'""",
+)
+def stored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan that dropping a stored table's expired partitions follows, from file footers."""
+    return ops.retention(spark, _stored(spark, sf_dir), AS_OF)
+
+
+@register("stored_retention_applied", INVENTORY + "SELECT source_index, docs FROM st WHERE state <> 'delete'")
+def stored_retention_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a stored table once its expired partitions are dropped."""
+    root = _stored(spark, sf_dir)
+    ops.retention(spark, root, AS_OF, apply=True)
+    return ops.stored_inventory(spark, root, AS_OF).select("source_index", "docs")

@@ -5,12 +5,15 @@ the order in which files are listed; ingest, which has none, takes it in bounded
 """
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netvigil.functions.times import event_ms
-from netvigil.registry.common import LOSS, fit_sql, points_sql, register
+from netvigil.registry.common import HOUR, LOSS, START_MS, fit_sql, points_sql, register
+from netvigil.operators.lifecycle import POLICY, rollover_due, stored_inventory
 from netvigil.operators import detect
 from netvigil.registry.detection import SPIKE_SQL, SURGE_SCORED, SURGE_SQL
 from netvigil.registry.monitoring import NOTICES, SURGE_NAME, SURGE_TICKS, UTIL_NAME, UTIL_TICKS, sends_sql, with_value
@@ -18,6 +21,7 @@ from netvigil.registry.tables import DOCS
 from netvigil.schema import CRITICAL_MONITOR, CRITICAL_SURGE, MONITORS, UTILIZATION_MONITOR, UTILIZATION_SPIKE
 from netvigil.session import new_path
 from netvigil.sources.adapter import documents, from_events, telemetry
+from netvigil.sources.ingest import LEDGER, kept_stats
 from netvigil.sources.tables import read_events, write_daily
 from netvigil.streaming import jobs
 
@@ -68,6 +72,54 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(rejected).groupBy("outcome", "severity").agg(F.count("*").alias("docs"))
 
 
+@register(
+    "stream_ingest_stats",
+    DOCS + """, s AS (SELECT count(*) FILTER (reason IS NULL) AS ok, count(*) FILTER (reason IS NOT NULL) AS refused,
+    coalesce(bool_or(severity = 'CRITICAL') FILTER (event_id % 73 <> 72), false) AS anomaly,
+    (max(ts_ms) - min(ts_ms)) / 1000.0 AS s FROM docs)
+SELECT 0::BIGINT AS batch_id, ok AS docs_ok, refused AS docs_rejected, anomaly AS has_anomaly, ok AS total_ok,
+  refused AS total_rejected, CASE WHEN s > 0 THEN round(ok / s, 6) ELSE 0.0 END AS docs_per_s FROM s""",
+)
+def stream_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the continuous ingest observes and keeps; the whole input is one micro-batch here."""
+    raw = documents(event_stream(spark, sf_dir, max_bytes=INGEST_BYTES)).select("body", "sent_ms")
+    root, refused, stats, checkpoint = (
+        new_path(spark, f"kept-{part}") for part in ("events", "refused", "stats", "checkpoint")
+    )
+    jobs.start_ingest(raw, root, refused, stats, checkpoint, once=True).awaitTermination()
+    return kept_stats(spark.read.schema(LEDGER).parquet(stats))
+
+
+SMALL = replace(POLICY, rollover_docs=2500)
+PART_MS = 2 * HOUR
+
+
+@register(
+    "stream_rollover",
+    DOCS + f""", b AS (SELECT (ts_ms - {START_MS}) // {PART_MS} AS k, count(*) FILTER (reason IS NULL) AS ok FROM docs GROUP BY 1)
+, w AS (SELECT k, 1 AS g, ok, ok AS n FROM b WHERE k = (SELECT min(k) FROM b)
+  UNION ALL SELECT b.k, CASE WHEN n >= {SMALL.rollover_docs} THEN g + 1 ELSE g END, b.ok,
+    CASE WHEN n >= {SMALL.rollover_docs} THEN 0 ELSE n END + b.ok FROM w JOIN b ON b.k = w.k + 1)
+SELECT g AS generation, CAST(sum(ok) AS BIGINT) AS docs, sum(ok) >= {SMALL.rollover_docs} AS rollover FROM w GROUP BY g""",
+)
+def stream_rollover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generations of a day that arrives in pieces of two hours, and which of them file footers call full."""
+    arrivals = new_path(spark, "rollover-arrivals")
+    events = telemetry(spark, sf_dir)
+    raw = documents(events).select("body", "sent_ms", "event_id")
+    for part in range(6):
+        low, high = START_MS + part * PART_MS, START_MS + (part + 1) * PART_MS
+        some = raw.where((F.col("sent_ms") >= low) & (F.col("sent_ms") < high)).select("body", "sent_ms")
+        some.coalesce(1).write.mode("append").parquet(arrivals)
+    root, refused, stats, checkpoint = (
+        new_path(spark, f"rollover-{part}") for part in ("events", "refused", "stats", "checkpoint")
+    )
+    stream = spark.readStream.schema("body string, sent_ms bigint").option("maxFilesPerTrigger", 1).parquet(arrivals)
+    jobs.start_ingest(stream, root, refused, stats, checkpoint, once=True, policy=SMALL).awaitTermination()
+    found = rollover_due(stored_inventory(spark, root, date.today(), generations=True), SMALL)
+    return found.select(F.col("generation").cast("int").alias("generation"), "docs", "rollover")
+
+
 @register(
     "stream_tumbling",
     SPIKE_SQL + """, newest AS (SELECT max(ts_ms) AS ms FROM ev)

@@ -58,12 +58,39 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """A folder that a stream can follow before anything is in it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    files, folder = _folder(spark, path)
+    files.mkdirs(folder)
+
+
+def folder_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of what lies in a folder and starts with ``prefix``; none where there is no folder."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in files.listStatus(folder)) if n.startswith(prefix))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder to a place whose earlier content goes; a move that the file system refuses raises."""
+    files, folder = _folder(spark, target)
+    files.delete(folder, True)
+    files.mkdirs(folder.getParent())
+    if not files.rename(_folder(spark, source)[1], folder):
+        raise OSError(f"{source} could not be moved to {target}")

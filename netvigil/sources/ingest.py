@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netvigil.operators.chunks import running_total
-from netvigil.schema import EVENT_FIELDS, KEYWORD_LIMIT, LOCATION_TYPE, NUMERIC_FIELDS
-from netvigil.session import stored
+from netvigil.schema import DAY, EVENT_FIELDS, KEYWORD_LIMIT, LOCATION_TYPE, NUMERIC_FIELDS, Retention
+from netvigil.session import exists, stored
 
 # Shapes of an ISO date, optional time and optional zone; of a number; of a pair of them.
 DATE_TIME = (
@@ -112,14 +112,64 @@ def quarantine(raw: DataFrame, body: str = "body") -> DataFrame:
     return parse_documents(raw, body).where(F.col("reason").isNotNull()).select(*raw.columns, "reason")
 
 
-def batch_counts(parsed: DataFrame) -> DataFrame:
-    """Per ``batch_id`` of parsed documents: accepted, refused, any CRITICAL, first and last ``sent_ms``."""
-    return parsed.groupBy("batch_id").agg(
+def outcome_counts() -> list[Column]:
+    """Of parsed documents: accepted, refused, any CRITICAL, first and last ``sent_ms``."""
+    return [
         F.count_if(F.col("reason").isNull()).alias("docs_ok"),
         F.count_if(F.col("reason").isNotNull()).alias("docs_rejected"),
         F.coalesce(F.bool_or(F.col("severity") == "CRITICAL"), F.lit(False)).alias("has_anomaly"),
         F.min("sent_ms").alias("first_ms"),
         F.max("sent_ms").alias("last_ms"),
+    ]
+
+
+def batch_counts(parsed: DataFrame) -> DataFrame:
+    """``outcome_counts`` per ``batch_id``."""
+    return parsed.groupBy("batch_id").agg(*outcome_counts())
+
+
+# A micro-batch's counts, what all up to it add up to, and the generation that its documents went to.
+LEDGER = (
+    "batch_id bigint, docs_ok bigint, docs_rejected bigint, has_anomaly boolean, first_ms bigint, last_ms bigint, "
+    "ok_so_far bigint, rejected_so_far bigint, began_ms bigint, day bigint, generation int, generation_docs bigint, "
+    "opened_ms bigint"
+)
+
+
+def last_row(spark: SparkSession, stats: str, batch_id: int) -> dict | None:
+    """The row of the micro-batch before ``batch_id``: one small file, whatever the length of the record."""
+    path = f"{stats}/batch={batch_id - 1:012d}"
+    return spark.read.schema(LEDGER).parquet(path).first().asDict() if exists(spark, path) else None
+
+
+def next_row(last: dict | None, batch_id: int, counts: dict, policy: Retention) -> dict:
+    """The row after ``last``, from the counts observed while a micro-batch was written.
+
+    A day starts with generation 1. A generation that has reached the policy's size or age takes no more.
+    """
+    last = last or {}
+    taken = counts["taken_ms"] if counts["taken_ms"] is not None else last.get("opened_ms") or 0
+    row = {k: counts[k] for k in ("docs_ok", "docs_rejected", "has_anomaly", "first_ms", "last_ms")}
+    number, docs, opened = 1, 0, taken
+    if last and last["day"] == taken // DAY:
+        number, docs, opened = last["generation"], last["generation_docs"], last["opened_ms"]
+        if docs >= policy.rollover_docs or taken - opened >= policy.rollover_days * DAY:
+            number, docs, opened = number + 1, 0, taken
+    known = [ms for ms in (last.get("began_ms"), counts["first_ms"]) if ms is not None]
+    return row | {
+        "batch_id": batch_id, "ok_so_far": last.get("ok_so_far", 0) + row["docs_ok"],
+        "rejected_so_far": last.get("rejected_so_far", 0) + row["docs_rejected"], "began_ms": min(known, default=None),
+        "day": taken // DAY, "generation": number, "generation_docs": docs + row["docs_ok"], "opened_ms": opened,
+    }
+
+
+def kept_stats(ledger: DataFrame) -> DataFrame:
+    """The rows of ``ingest_stats`` from what a continuous ingest keeps: running totals are there, not added up anew."""
+    seconds = (F.col("last_ms") - F.col("began_ms")) / 1000.0
+    rate = F.when(seconds > 0, F.round(F.col("ok_so_far") / seconds, 6)).otherwise(F.lit(0.0))
+    return ledger.select(
+        "batch_id", "docs_ok", "docs_rejected", "has_anomaly", F.col("ok_so_far").alias("total_ok"),
+        F.col("rejected_so_far").alias("total_rejected"), rate.alias("docs_per_s"),
     )
 
 

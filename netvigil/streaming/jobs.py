@@ -6,22 +6,26 @@ expressions with the batch operators; the start functions attach sinks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from netvigil.functions.metrics import aggregates
 from netvigil.functions.predicates import not_from
-from netvigil.functions.times import event_ms
+from netvigil.functions.times import daily_name, event_ms, utc_text
 from netvigil.operators import forest
 from netvigil.operators.detect import FOREST, entity_of
 from netvigil.operators.forecast import SETTINGS, forecast
 from netvigil.operators.monitor import monitored, rendered, tick_range, trigger_eval
-from netvigil.schema import MINUTE, Detector, ForecastSettings, ForestSettings, Monitor
-from netvigil.session import make_folder
-from netvigil.sources.ingest import batch_counts, parse_documents
-from netvigil.sources.tables import read_events, write_daily, write_forecast
+from netvigil.operators.lifecycle import POLICY
+from netvigil.schema import (
+    EVENT_FIELDS, EVENT_PREFIX, MINUTE, Detector, ForecastSettings, ForestSettings, Monitor, Retention,
+)
+from netvigil.session import folder_names, make_folder, remove_folder, replace_folder
+from netvigil.sources.ingest import LEDGER, last_row, next_row, outcome_counts, parse_documents
+from netvigil.sources.tables import generation_name, read_events, stored_rows, write_forecast
 from netvigil.streaming import state
 
 
@@ -52,24 +56,48 @@ def start_ingest(
     checkpoint: str,
     once: bool = False,
     every_ms: int | None = 1000,
+    policy: Retention = POLICY,
 ) -> StreamingQuery:
-    """Files accepted documents by day, refused ones apart, and one row of counts per micro-batch.
+    """Files accepted documents by day and hour, refused ones apart, and one row of counts per micro-batch.
+
+    A micro-batch is parsed and written once, by outcome, to a folder that readers skip; its counts are observed
+    during that write, and its folders then move to their places. The row of counts carries the totals so far and the
+    day's open generation on to the next micro-batch, which closes a generation that has ``policy.rollover_docs``
+    documents or is ``policy.rollover_days`` old.
 
     A micro-batch that is run again replaces its own folders. Its intake time is the batch's
     recorded time, so a rerun past midnight still files it under the same day.
     ``raw`` has ``body`` and ``sent_ms``.
     """
+    spark = raw.sparkSession
+    for folder in (root, quarantine):
+        make_folder(spark, folder)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        name = f"{batch_id:012d}"
-        parsed = parse_documents(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
-        try:
-            write_daily(parsed.where(F.col("reason").isNull()), root, F.col("_taken"), batch=name)
-            refused = parsed.where(F.col("reason").isNotNull()).select("body", "sent_ms", "reason")
-            refused.write.mode("overwrite").parquet(f"{quarantine}/batch={name}")
-            batch_counts(parsed).write.mode("overwrite").parquet(f"{stats}/batch={name}")
-        finally:
-            parsed.unpersist()
+        name, staged = f"{batch_id:012d}", f"{root}/_arriving-{batch_id:012d}"
+        parsed, observed = parse_documents(batch), Observation(f"arrivals {uuid.uuid4().hex}")
+        good = F.col("reason").isNull()
+        taken = F.unix_millis("_taken")
+        counts = [*outcome_counts(), F.max(taken).alias("taken_ms")]
+        rows = stored_rows(parsed.observe(observed, *counts).select(
+            *[F.when(good, F.col(field)).alias(field) for field in EVENT_FIELDS],
+            *[F.when(~good, F.col(field)).alias(field) for field in ("body", "sent_ms", "reason")],
+            F.when(good, "accepted").otherwise("refused").alias("outcome"),
+            daily_name(EVENT_PREFIX, taken).alias("source_index"), utc_text(taken, "HH").alias("hour"),
+        ))
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        writer.partitionBy("outcome", "source_index", "hour").parquet(staged)
+        row = next_row(last_row(spark, stats, batch_id), batch_id, observed.get, policy)
+        generation = f"generation={generation_name(row['generation'])}"
+        for outcome in folder_names(spark, staged, "outcome="):
+            for day in folder_names(spark, f"{staged}/{outcome}", "source_index="):
+                for hour in folder_names(spark, f"{staged}/{outcome}/{day}", "hour="):
+                    place = f"{root}/{day}/{generation}/{hour}/batch={name}"
+                    if outcome == "outcome=refused":
+                        place = f"{quarantine}/batch={name}"
+                    replace_folder(spark, f"{staged}/{outcome}/{day}/{hour}", place)
+        remove_folder(spark, staged)
+        spark.createDataFrame([row], LEDGER).write.mode("overwrite").parquet(f"{stats}/batch={name}")
 
     stamped = raw.select("body", "sent_ms", F.current_timestamp().alias("_taken"))
     return _start(stamped.writeStream.foreachBatch(store), checkpoint, once, every_ms)

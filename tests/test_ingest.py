@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import at, dicts, event_rows
@@ -128,3 +129,54 @@ def test_stored_events_give_the_same_panels(spark, sf_dir, folder):
         for one, other in zip(*both, strict=True):
             assert [one[k] for k in keys] == [other[k] for k in keys]
             assert all(other[k] == pytest.approx(v, rel=1e-6) for k, v in one.items() if isinstance(v, (int, float)))
+
+
+HOUR = 3_600_000
+
+
+def test_one_hour_is_listed_alone(spark, folder):
+    """Nothing outside the folders that a range asks for is looked at: what lies there could not even be listed."""
+    for hour in (9, 10, 11):
+        tables.write_daily(event_rows(spark, [{"ms": BASE + hour * HOUR}]), folder, at(BASE + hour * HOUR), batch=f"b{hour}")
+    day = Path(folder, "source_index=telecom-noc-2024.01.01", "generation=000001")
+    for odd in (day / "hour=11" / "broken", Path(folder, "source_index=telecom-noc-2023.12.31", "hour=1", "generation=2")):
+        odd.mkdir(parents=True)
+        (odd / "part.parquet").write_bytes(b"no parquet")
+    ranged = tables.read_events(
+        spark, folder, since=BASE + 10 * HOUR, until=BASE + 11 * HOUR - 1, ingest_lag_hours=0, include_forecast=False)
+    assert [r["source_index"] for r in ranged.collect()] == ["telecom-noc-2024.01.01"]
+    assert all("hour=10" in name for name in ranged.inputFiles())
+    with pytest.raises(Exception):
+        tables.read_events(spark, folder).collect()
+
+
+@pytest.mark.parametrize("lag,expected", [(0, [10]), (1, [9, 10, 11]), (30, [8, 9, 10, 11, 12])])
+def test_lag_widens_the_listing(spark, folder, lag, expected):
+    for hour in range(8, 13):
+        rows = [{"ms": BASE + 10 * HOUR + hour, "hostname": str(hour)}]
+        tables.write_daily(event_rows(spark, rows), folder, at(BASE + hour * HOUR), batch=f"b{hour}")
+    ranged = tables.read_events(spark, folder, since=BASE + 10 * HOUR, until=BASE + 11 * HOUR - 1, ingest_lag_hours=lag)
+    assert sorted(int(r["hostname"]) for r in ranged.collect()) == expected
+    open_end = tables.read_events(spark, folder, since=BASE + 10 * HOUR, ingest_lag_hours=lag)
+    assert sorted(int(r["hostname"]) for r in open_end.collect()) == list(range(max(8, 10 - lag), 13))
+
+
+def test_whole_days_are_found_at_any_hour(spark, folder):
+    tables.write_daily(event_rows(spark, [{"ms": BASE + 10 * HOUR}]), folder, at(BASE), rebalance=True)
+    ranged = tables.read_events(spark, folder, since=BASE + 10 * HOUR, until=BASE + 10 * HOUR + 1, ingest_lag_hours=0)
+    assert ranged.count() == 1
+    nothing = tables.read_events(spark, folder, since=BASE - 99 * HOUR, until=BASE - 98 * HOUR, ingest_lag_hours=1)
+    assert nothing.count() == 0 and nothing.columns == ranged.columns
+
+
+def test_ledger_rows_follow_each_other():
+    policy = ingest.Retention(rollover_docs=10, rollover_days=1)
+    row, seen = None, []
+    for batch, (ok, taken) in enumerate([(4, BASE), (7, BASE + 1), (3, BASE + 2), (0, BASE + 3), (9, BASE + 4), (1, BASE + 5), (2, BASE + 86_400_000)]):
+        counts = {"docs_ok": ok, "docs_rejected": 1, "has_anomaly": False, "first_ms": taken if ok else None, "last_ms": taken if ok else None}
+        row = ingest.next_row(row, batch, counts | {"taken_ms": taken}, policy)
+        seen.append((row["generation"], row["generation_docs"], row["ok_so_far"]))
+    assert seen == [(1, 4, 4), (1, 11, 11), (2, 3, 14), (2, 3, 14), (2, 12, 23), (3, 1, 24), (1, 2, 26)]
+    assert row["rejected_so_far"] == 7 and row["began_ms"] == BASE
+    nothing = {"docs_ok": 0, "docs_rejected": 0, "has_anomaly": False, "first_ms": None, "last_ms": None, "taken_ms": None}
+    assert ingest.next_row(None, 0, nothing, policy)["generation"] == 1

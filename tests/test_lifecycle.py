@@ -122,3 +122,27 @@ def test_a_second_run_changes_no_file(spark, folder):
     files = sorted(spark.read.parquet(folder).inputFiles())
     ops.compact_warm(spark, folder, AS_OF)
     assert sorted(spark.read.parquet(folder).inputFiles()) == files and files
+
+
+def test_inventory_comes_from_footers(spark, folder):
+    fill(spark, folder, (0, 20, 34))
+    inventory = ops.stored_inventory(spark, folder, AS_OF)
+    plan = inventory._jdf.queryExecution().optimizedPlan().toString() + inventory._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(event_ms), MAX(event_ms)]" in plan
+    rows = {r["source_index"]: (r["docs"], r["first_ms"], r["last_ms"], r["age_days"]) for r in inventory.collect()}
+    assert rows == {
+        f"telecom-noc-{name}": (3, BASE + day * DAY, BASE + day * DAY + 2, age)
+        for name, day, age in (("2024.01.01", 0, 35), ("2024.01.21", 20, 15), ("2024.02.04", 34, 1))
+    }
+    assert sorted(map(tuple, ops.partition_inventory(tables.read_events(spark, folder), AS_OF).collect())) == sorted(
+        map(tuple, inventory.select("source_index", "docs", "first_ms", "last_ms", "age_days").collect()))
+
+
+def test_generations_are_told_apart(spark, folder):
+    for generation in (1, 2):
+        for load in range(generation):
+            events = event_rows(spark, [{"ms": BASE + load}])
+            tables.write_daily(events, folder, at(BASE), batch=f"{generation}-{load}", generation=generation)
+    found = ops.stored_inventory(spark, folder, AS_OF, generations=True)
+    assert {r["generation"]: r["docs"] for r in found.collect()} == {"000001": 1, "000002": 2}
+    assert ops.stored_inventory(spark, folder, AS_OF).first()["docs"] == 3

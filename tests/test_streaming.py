@@ -190,3 +190,28 @@ def test_alerts_wait_for_ticks_that_are_not_there_yet(spark):
     _, last = jobs.start_alerts(followed.stream(), UTILIZATION_MONITOR, ticks, notices, checkpoint, once=True)
     last.awaitTermination()
     assert [r["tick"] for r in spark.read.parquet(notices).collect()] == [BASE]
+
+
+def test_a_large_day_ends_in_several_generations(spark):
+    """250,000 documents in pieces: full generations are closed while writing, and the footers say the same."""
+    from datetime import datetime, timezone
+
+    from netvigil.operators import lifecycle
+
+    raw = spark.range(250_000).select(
+        F.format_string('{"timestamp":%d,"hostname":"h"}', F.lit(BASE) + F.col("id")).alias("body"),
+        (F.lit(BASE) + F.col("id")).alias("sent_ms"))
+    followed = Replay(spark, raw.schema)
+    for part in range(5):
+        followed.arrive(raw.where(f"sent_ms - {BASE} between {part * 50_000} and {part * 50_000 + 49_999}"))
+    root, refused, stats, checkpoint = (new_path(spark, f"large-{n}") for n in ("root", "refused", "stats", "checkpoint"))
+    jobs.start_ingest(followed.stream(), root, refused, stats, checkpoint, once=True).awaitTermination()
+    today = datetime.now(timezone.utc).date()
+    found = lifecycle.rollover_due(lifecycle.stored_inventory(spark, root, today, generations=True))
+    assert sorted((r["generation"], r["docs"], r["rollover"]) for r in found.collect()) == [
+        ("000001", 100_000, True), ("000002", 100_000, True), ("000003", 50_000, False)]
+    ledger = spark.read.schema(ingest.LEDGER).parquet(stats)
+    running = ingest.with_running_stats(ledger.select("batch_id", "docs_ok", "docs_rejected", "has_anomaly", "first_ms", "last_ms"))
+    kept = ingest.kept_stats(ledger)
+    assert rows(kept, *running.columns) == rows(running)
+    assert not [p for p in Path(root).iterdir() if p.name.startswith("_arriving")]
