@@ -74,17 +74,84 @@ def shingles(features: DataFrame, detector: Detector, chunk_windows: int = 1440)
     return looked.where(unbroken & ~F.col("carried")).select("entity", "key", "shingle")
 
 
+def _unit(settings: ForestSettings) -> None:
+    if settings.trees % settings.tree_blocks or settings.chunk % settings.refresh:
+        raise ValueError("trees must divide into tree_blocks, chunk into refresh windows")
+
+
 def rcf_score(
     shingled: DataFrame, detector: Detector, settings: ForestSettings = FOREST, partitions: int | None = None
 ) -> DataFrame:
-    """Mean displacement of every shingle in a forest over its entity's past: ``anomaly_score``, null in the warm-up.
+    """Mean displacement of every shingle in a forest over its entity's past: ``anomaly_score``, null in the warm-up."""
+    _unit(settings)
+    if settings.history is None:
+        vectors = shingled.select("entity", "key", F.col("shingle").alias("vector"))
+        return _scores_after_all(vectors, 1, detector, settings, partitions)
+    return _recent_scores(shingled, detector, settings, partitions)
+
+
+def score_features(
+    features: DataFrame, detector: Detector, settings: ForestSettings = FOREST, partitions: int | None = None
+) -> DataFrame:
+    """``rcf_score`` of a detector's features: windows travel as they are and become shingles where they are scored."""
+    _unit(settings)
+    if settings.history is not None:
+        return _recent_scores(shingles(features, detector), detector, settings, partitions)
+    names = [m.name for m in detector.metrics]
+    complete = features.where(" and ".join(f"{name} is not null" for name in names))
+    vectors = complete.select("entity", "key", F.array(*[F.col(n).cast("double") for n in names]).alias("vector"))
+    return _scores_after_all(vectors, detector.shingle, detector, settings, partitions)
+
+
+def _scores_after_all(
+    vectors: DataFrame, size: int, detector: Detector, settings: ForestSettings, partitions: int | None
+) -> DataFrame:
+    """Scores against samples of the whole past.
 
-    The unit of work is (entity, chunk of time, block of trees). Chunks overlap by the forest's
-    history, so a group holds at most ``chunk + history + refresh`` windows however long an entity's
-    record is. The partition count is stated because the groups are small in bytes but not in work.
+    The unit of work is (entity, chunk of time, block of trees). Every chunk offers the windows of least priority to the
+    samples of later chunks, ``sample`` of them for a block; a walk over these few rows gives each chunk the sample of all
+    that lies before it. So a group holds a chunk and a sample however long a record is, and the walk ``sample`` rows
+    for each chunk.
     """
-    if settings.trees % settings.tree_blocks or settings.chunk % settings.refresh:
-        raise ValueError("trees must divide into tree_blocks, chunk into refresh windows")
+    step, sample = detector.interval_ms, settings.sample
+    options = dict(
+        size=size, interval=step, trees=settings.trees // settings.tree_blocks, sample=sample,
+        refresh=settings.refresh, warmup=settings.warmup,
+    )
+    blocks, score_chunk = settings.tree_blocks, forest.score_chunk
+    sampled_chunk, samples_before = forest.sampled_chunk, forest.samples_before
+
+    def offer(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return sampled_chunk(rows, str(group[0]), size, step, blocks, sample)
+
+    def carry(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return samples_before(rows, str(group[0]), int(group[1]), sample)
+
+    def score(group: tuple, rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"entity": [], "key": [], "units": []}).astype({"key": "int64", "units": "Int64"})
+        return score_chunk(rows, held, str(group[0]), int(group[2]), **options)
+
+    if partitions is None:
+        partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shape = "entity string, chunk bigint, block int, key bigint, point binary"
+    work = overlapping_chunks(vectors, "key", settings.chunk * step, (size - 1) * step)
+    offered = work.groupBy("entity", "chunk").applyInPandas(offer, shape)
+    held = offered.groupBy("entity", "block").applyInPandas(carry, shape)
+    unit = ["entity", "chunk", "block"]
+    due = work.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # The partition count is stated because the groups are small in bytes but not in work.
+    parts = due.repartition(partitions, *unit).groupBy(*unit).cogroup(
+        held.repartition(partitions, *unit).groupBy(*unit)
+    ).applyInPandas(score, "entity string, key bigint, units bigint")
+    scale = F.lit(float(forest.SCORE_UNIT * settings.trees))
+    return parts.groupBy("entity", "key").agg((F.sum("units") / scale).alias("anomaly_score"))
+
+
+def _recent_scores(
+    shingled: DataFrame, detector: Detector, settings: ForestSettings, partitions: int | None
+) -> DataFrame:
+    """Scores against samples of the last ``settings.history`` windows: chunks overlap by them."""
     step = detector.interval_ms
     per_block = settings.trees // settings.tree_blocks
     options = dict(
@@ -149,9 +216,14 @@ def detector_results(
 ) -> DataFrame:
     """Rows of a detector's result table: entity, window, features, score and grade."""
     features = detector_features(events, detector, as_of)
-    scored = anomaly_grade(rcf_score(shingles(features, detector), detector, settings), detector)
+    scored = anomaly_grade(score_features(features, detector, settings), detector)
+    return result_columns(features.join(scored, ["entity", "key"]), detector)
+
+
+def result_columns(graded: DataFrame, detector: Detector) -> DataFrame:
+    """The columns of a detector's result table."""
     start = F.col("key")
-    return features.join(scored, ["entity", "key"]).select(
+    return graded.select(
         F.lit(detector.name).alias("detector"),
         "entity",
         F.timestamp_millis(start).alias("data_start"),

@@ -149,3 +149,102 @@ def score_group(rows: pd.DataFrame, entity: str, block: int, **settings: int) ->
     scores = score_windows(keys, shingles, wanted, (entity, block), **settings)
     units = pd.Series(scores[wanted], dtype="Int64")
     return pd.DataFrame({"entity": entity, "key": keys[wanted], "units": units.mask(units < 0)})
+
+
+def shingle_rows(keys: np.ndarray, vectors: np.ndarray, size: int, interval: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and flattened vectors of the unbroken runs of ``size`` windows."""
+    if len(keys) < size:
+        return np.empty(0, dtype=np.int64), np.empty((0, vectors.shape[1] * size))
+    ends = np.arange(size - 1, len(keys))
+    ends = ends[keys[ends] - keys[ends - size + 1] == (size - 1) * interval]
+    return keys[ends], vectors[ends[:, None] - np.arange(size - 1, -1, -1)].reshape(len(ends), vectors.shape[1] * size)
+
+
+def drawn(keys: np.ndarray, points: np.ndarray, sample: int, seed: tuple[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The ``sample`` windows of least priority, by key.
+
+    A window's priority is a number made of its key, the entity and the block of trees. So this is an even sample of
+    everything it was drawn from, and what is drawn from several samples together is the sample of all that is behind them.
+    """
+    salt = zlib.crc32(f"{seed[1]} {seed[0]}".encode())
+    least = np.sort(np.argsort(_uniform(salt, keys, 3), kind="stable")[:sample])
+    least = least[np.argsort(keys[least], kind="stable")]
+    return keys[least], points[least]
+
+
+def score_after(
+    keys: np.ndarray, shingles: np.ndarray, wanted: np.ndarray, seed: tuple[str, int], held: tuple[np.ndarray, np.ndarray],
+    interval: int, trees: int, sample: int, refresh: int, warmup: int,
+) -> np.ndarray:
+    """Score sums over ``trees``, in millionths, of the ``wanted`` windows of one entity; -1 without score; keys ascend.
+
+    ``held`` is the sample of everything before the first key. Windows are scored in aligned stretches of
+    ``refresh``; a stretch's trees hold the sample of all windows before it, however long ago.
+    """
+    salt = zlib.crc32(f"{seed[1]} {seed[0]}".encode())
+    span = refresh * interval
+    scores = np.full(len(keys), -1, dtype=np.int64)
+    stretch = keys - keys % span
+    taken = 0
+    for start in np.unique(stretch[wanted]):
+        end = int(np.searchsorted(keys, start))
+        held = drawn(
+            np.concatenate([held[0], keys[taken:end]]), np.concatenate([held[1], shingles[taken:end]]), sample, seed
+        )
+        taken = end
+        if len(held[0]) < warmup:
+            continue
+        rng = np.random.default_rng([salt, int(start // span) & 0xFFFFFFFF])
+        deviation = held[1].std(axis=0)
+        scale = np.where(deviation > 0, deviation, 1.0)
+        due = np.flatnonzero((stretch == start) & wanted)
+        forest = grow(np.repeat((held[1] / scale)[None], trees, axis=0), rng)
+        found = displacement(forest, trees, shingles[due] / scale, keys[due], salt)
+        scores[due] = np.rint(found * SCORE_UNIT).astype(np.int64).sum(axis=0)
+    return scores
+
+
+def chunk_shingles(rows: pd.DataFrame, size: int, interval: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and shingles of a chunk's own windows; carried rows only complete the first ones."""
+    rows = rows.sort_values("key", kind="stable")
+    keys = rows["key"].to_numpy(dtype=np.int64)
+    own, shingles = shingle_rows(keys, np.array(rows["vector"].tolist(), dtype=float), size, interval)
+    keep = np.isin(own, keys[~rows["carried"].to_numpy(dtype=bool)])
+    return own[keep], shingles[keep]
+
+
+def sampled_chunk(rows: pd.DataFrame, entity: str, size: int, interval: int, blocks: int, sample: int) -> pd.DataFrame:
+    """What a chunk of an entity's record offers to the samples of later chunks, for each block of trees."""
+    keys, shingles = chunk_shingles(rows, size, interval)
+    parts = []
+    for block in range(blocks):
+        some, points = drawn(keys, shingles, sample, (entity, block))
+        parts.append(pd.DataFrame({
+            "entity": entity, "chunk": rows["chunk"].iloc[0], "block": block, "key": some, "point": [p.tobytes() for p in points],
+        }))
+    return pd.concat(parts)
+
+
+def samples_before(rows: pd.DataFrame, entity: str, block: int, sample: int) -> pd.DataFrame:
+    """For every chunk of one (entity, block) the sample of all chunks before it."""
+    keys, points, parts = np.empty(0, dtype=np.int64), np.empty(0, dtype=object), []
+    for chunk, own in rows.sort_values("chunk", kind="stable").groupby("chunk", sort=True):
+        parts.append(pd.DataFrame({"entity": entity, "chunk": chunk, "block": block, "key": keys, "point": points}))
+        keys, points = drawn(
+            np.concatenate([keys, own["key"].to_numpy(dtype=np.int64)]),
+            np.concatenate([points, own["point"].to_numpy(dtype=object)]), sample, (entity, block),
+        )
+    return pd.concat(parts)
+
+
+def score_chunk(
+    rows: pd.DataFrame, held: pd.DataFrame, entity: str, block: int, size: int, interval: int, **settings: int
+) -> pd.DataFrame:
+    """Partial scores of one (entity, chunk, block of trees), given the sample of the chunks before."""
+    keys, shingles = chunk_shingles(rows, size, interval)
+    held = held.sort_values("key", kind="stable")
+    points = np.frombuffer(b"".join(held["point"]), dtype=float).reshape(len(held), -1 if len(held) else shingles.shape[1])
+    past = held["key"].to_numpy(dtype=np.int64), points
+    scores = score_after(keys, shingles, np.ones(len(keys), dtype=bool), (entity, block), past, interval, **settings)
+    units = pd.Series(scores, dtype="Int64")
+    return pd.DataFrame({"entity": entity, "key": keys, "units": units.mask(units < 0)})

@@ -65,17 +65,16 @@ def shingle_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scores(spark: SparkSession, sf_dir: str, detector: Detector) -> DataFrame:
     features = detect.detector_features(telemetry(spark, sf_dir), detector)
-    return detect.rcf_score(detect.shingles(features, detector), detector)
+    return detect.score_features(features, detector)
 
 
 def scored_sql(full: str, detector: Detector) -> str:
-    """CTE ``scored``: entity, key and whether enough shingles lie in the history before the window's stretch."""
-    step = detector.interval_ms
-    span, history = detect.FOREST.refresh * step, detect.FOREST.history * step
+    """CTE ``scored``: entity, key and whether enough shingles lie before the window's stretch."""
+    span = detect.FOREST.refresh * detector.interval_ms
     return f"""
 , {full}_scored AS (SELECT f.entity, f.key, count(p.key) >= {detect.FOREST.warmup} AS scored
   FROM {full} f LEFT JOIN {full} p ON p.entity = f.entity
-    AND p.key >= f.key - f.key % {span} - {history} AND p.key < f.key - f.key % {span}
+    AND p.key < f.key - f.key % {span}
   GROUP BY 1, 2)
 """
 

@@ -15,14 +15,14 @@ from netvigil.functions.times import event_ms
 from netvigil.registry.common import HOUR, LOSS, START_MS, fit_sql, points_sql, register
 from netvigil.operators.lifecycle import POLICY, rollover_due, stored_inventory
 from netvigil.operators import detect
-from netvigil.registry.detection import SPIKE_SQL, SURGE_SCORED, SURGE_SQL
+from netvigil.registry.detection import SPIKE_SCORED, SPIKE_SQL, SURGE_SCORED, SURGE_SQL
 from netvigil.registry.monitoring import NOTICES, SURGE_NAME, SURGE_TICKS, UTIL_NAME, UTIL_TICKS, sends_sql, with_value
 from netvigil.registry.tables import DOCS
-from netvigil.schema import CRITICAL_MONITOR, CRITICAL_SURGE, MONITORS, UTILIZATION_MONITOR, UTILIZATION_SPIKE
+from netvigil.schema import CRITICAL_MONITOR, CRITICAL_SURGE, DETECTORS, MONITORS, UTILIZATION_MONITOR, UTILIZATION_SPIKE
 from netvigil.session import new_path
 from netvigil.sources.adapter import documents, from_events, telemetry
 from netvigil.sources.ingest import LEDGER, kept_stats
-from netvigil.sources.tables import read_events, write_daily
+from netvigil.sources.tables import read_detector_results, read_events, write_daily
 from netvigil.streaming import jobs
 
 
@@ -242,3 +242,30 @@ def stream_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("entity", "key", F.col("anomaly_score").isNotNull().alias("scored"), same.alias("as_batch"))
 
 
+@register(
+    "stream_detector_results",
+    SPIKE_SCORED + SURGE_SCORED + """, newest AS (SELECT max(ts_ms) AS ms FROM ev)
+SELECT 'noc-utilization-spike' AS detector, entity, key, avg_utilization AS first, max_utilization AS second, avg_latency AS third,
+  scored, true AS as_batch FROM spike JOIN spike_full_scored USING (entity, key), newest WHERE key + 60000 <= ms - 60000
+UNION ALL SELECT 'noc-critical-surge', entity, key, CAST(critical_count AS DOUBLE), avg_packet_loss, NULL, scored, true
+FROM surge JOIN surge_full_scored USING (entity, key), newest WHERE key + 120000 <= ms - 60000""",
+)
+def stream_detector_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the windows in the continuous result tables, and whether score and grade are the batch job's."""
+    made = []
+    results = new_path(spark, "stream-results")
+    for detector in DETECTORS:
+        tables, checkpoint = new_path(spark, "detector-tables"), new_path(spark, "detector-checkpoint")
+        jobs.start_detector(event_stream(spark, sf_dir), detector, tables, results, checkpoint, once=True)[-1].awaitTermination()
+        found = read_detector_results(spark, results, detector.name)
+        batch = detect.detector_results(telemetry(spark, sf_dir), detector).select(
+            "entity", "data_start", F.col("anomaly_score").alias("score"), F.col("anomaly_grade").alias("grade")
+        )
+        same = F.col("anomaly_score").eqNullSafe(F.col("score")) & F.col("anomaly_grade").eqNullSafe(F.col("grade"))
+        values = [F.col(m.name).cast("double") for m in detector.metrics] + [F.lit(None).cast("double")]
+        made.append(found.join(batch, ["entity", "data_start"], "left").select(
+            F.lit(detector.name).alias("detector"), "entity", event_ms("data_start").alias("key"),
+            *[v.alias(n) for v, n in zip(values, ("first", "second", "third"))],
+            F.col("anomaly_score").isNotNull().alias("scored"), same.alias("as_batch"),
+        ))
+    return made[0].unionByName(made[1])

@@ -70,16 +70,16 @@ class Detector:
 
 @dataclass(frozen=True)
 class ForestSettings:
-    """Random cut forest over a sliding history.
+    """Random cut forest over an entity's past.
 
-    The forest is redrawn every ``refresh`` windows from at most ``sample`` of
-    the shingles in the preceding ``history`` windows; fewer than ``warmup``
-    of them give no score (null).
+    The forest is redrawn every ``refresh`` windows from at most ``sample`` of the earlier shingles, the whole past or with
+    ``history`` that many windows of it; fewer than ``warmup`` give no score (null). Trees of one of the ``tree_blocks``
+    share a sample of the whole past.
     """
 
     trees: int = 30
     sample: int = 256
-    history: int = 1024
+    history: int | None = None
     refresh: int = 16
     warmup: int = 8
     tree_blocks: int = 5

@@ -158,11 +158,16 @@ def detector_path(root: str, detector: str) -> str:
     return f"{root}/detector={detector}"
 
 
-def write_detector_results(results: DataFrame, root: str, detector: str) -> None:
-    """Appends scored windows to the detector's own result table."""
+def write_detector_results(results: DataFrame, root: str, detector: str, batch: str | None = None) -> None:
+    """Files scored windows in the detector's own result table.
+
+    With ``batch`` they are a partition of that name, replaced as a whole when the same batch is written again; without
+    they are appended to one that such writes share.
+    """
     rows = results.drop("detector").write.option("compression", "zstd")
-    rows.mode("append").parquet(detector_path(root, detector))
+    mode = "append" if batch is None else "overwrite"
+    rows.mode(mode).parquet(f"{detector_path(root, detector)}/batch={batch or LOAD_BATCH}")
 
 
 def read_detector_results(spark: SparkSession, root: str, detector: str) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(detector_path(root, detector))
+    return spark.read.option("basePath", root).parquet(detector_path(root, detector)).drop("batch")

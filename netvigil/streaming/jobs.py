@@ -16,7 +16,7 @@ from netvigil.functions.metrics import aggregates
 from netvigil.functions.predicates import not_from
 from netvigil.functions.times import daily_name, event_ms, utc_text
 from netvigil.operators import forest
-from netvigil.operators.detect import FOREST, entity_of
+from netvigil.operators.detect import FOREST, GRADE_WINDOWS, LEAST_SCORES, LEAST_SPREAD, entity_of, result_columns
 from netvigil.operators.forecast import SETTINGS, forecast
 from netvigil.operators.monitor import monitored, rendered, tick_range, trigger_eval
 from netvigil.operators.lifecycle import POLICY
@@ -25,7 +25,7 @@ from netvigil.schema import (
 )
 from netvigil.session import folder_names, make_folder, remove_folder, replace_folder
 from netvigil.sources.ingest import LEDGER, last_row, next_row, outcome_counts, parse_documents
-from netvigil.sources.tables import generation_name, read_events, stored_rows, write_forecast
+from netvigil.sources.tables import generation_name, read_events, stored_rows, write_detector_results, write_forecast
 from netvigil.streaming import state
 
 
@@ -184,11 +184,24 @@ def start_alerts(
     return first, start_append(sent, notices, f"{checkpoint}/notices", once, every_ms or monitor.interval_ms)
 
 
+def _scorer(detector: Detector, settings: ForestSettings, parts: bool):
+    return state.past_scorer(
+        [m.name for m in detector.metrics], detector.shingle, detector.interval_ms, settings.tree_blocks,
+        float(forest.SCORE_UNIT * settings.trees), parts, trees=settings.trees // settings.tree_blocks,
+        sample=settings.sample, refresh=settings.refresh, warmup=settings.warmup,
+    )
+
+
 def detect_stream(features: DataFrame, detector: Detector, settings: ForestSettings = FOREST) -> DataFrame:
-    """Scores of newly closed windows, equal to the batch scores; each entity keeps its recent windows.
+    """Scores of newly closed windows, equal to the batch scores; each entity keeps samples of its past windows.
 
     ``features`` follows the table that the closed windows are appended to.
     """
+    shape, append = "entity string, key bigint, anomaly_score double", "append"
+    if settings.history is None:
+        return features.groupBy("entity").applyInPandasWithState(
+            _scorer(detector, settings, False), shape, state.SCORER_STATE, append, "NoTimeout"
+        )
     scorer = state.window_scorer(
         forest.score_windows,
         [m.name for m in detector.metrics],
@@ -203,12 +216,80 @@ def detect_stream(features: DataFrame, detector: Detector, settings: ForestSetti
         warmup=settings.warmup,
     )
     return features.groupBy("entity").applyInPandasWithState(
-        scorer,
-        "entity string, key bigint, anomaly_score double",
-        "keys array<bigint>, vectors array<double>",
-        "append",
-        "NoTimeout",
+        scorer, shape, "keys array<bigint>, vectors array<double>", append, "NoTimeout"
+    )
+
+
+def _named(detector: Detector, kind: str = "double") -> str:
+    return ", ".join(f"{m.name} {kind}" for m in detector.metrics)
+
+
+def partial_scores(features: DataFrame, detector: Detector, settings: ForestSettings = FOREST) -> DataFrame:
+    """What each block of trees adds to the scores of newly closed windows, with the windows' features.
+
+    The state's key is (entity, block), so a detector of one entity works in as many tasks as there are blocks.
+    """
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(settings.tree_blocks - 1))).alias("block")
+    rows = features.select("entity", blocks, "key", *[F.col(m.name).cast("double").alias(m.name) for m in detector.metrics])
+    return rows.groupBy("entity", "block").applyInPandasWithState(
+        _scorer(detector, settings, True), f"entity string, key bigint, block int, {_named(detector)}, units bigint",
+        state.SCORER_STATE, "append", "NoTimeout",
+    )
+
+
+def graded_stream(parts: DataFrame, detector: Detector, settings: ForestSettings = FOREST) -> DataFrame:
+    """Features, score and grade of windows, equal to the batch job's; ``parts`` follows the table of partial scores.
+
+    An entity keeps the scores of the last ``GRADE_WINDOWS`` windows, of which each grade takes its two medians.
+    """
+    step = state.grader(
+        [m.name for m in detector.metrics], detector.interval_ms, settings.tree_blocks,
+        float(forest.SCORE_UNIT * settings.trees), GRADE_WINDOWS, LEAST_SCORES, LEAST_SPREAD,
     )
+    return parts.groupBy("entity").applyInPandasWithState(
+        step, f"entity string, key bigint, {_named(detector)}, anomaly_score double, anomaly_grade double",
+        state.GRADER_STATE, "append", "NoTimeout",
+    )
+
+
+def start_detector(
+    events: DataFrame,
+    detector: Detector,
+    tables: str,
+    results: str,
+    checkpoint: str,
+    settings: ForestSettings = FOREST,
+    once: bool = False,
+    every_ms: int | None = None,
+) -> list[StreamingQuery]:
+    """A detector from events to its result table, by three jobs: closed windows, partial scores, graded results.
+
+    The first two append to tables below ``tables`` that the next one follows. Results go to partitions named by micro-batch,
+    which a micro-batch that is run again replaces. With ``once`` each job has ended before the next starts.
+    """
+    if settings.history is not None:
+        raise ValueError("the continuous detector keeps samples of the whole past")
+    spark, every = events.sparkSession, every_ms or detector.interval_ms
+    features = tumbling_features(events, detector)
+    kinds = {f.name: f.dataType for f in features.schema.fields}
+
+    def follow(made: DataFrame, name: str) -> DataFrame:
+        jobs.append(start_append(made, f"{tables}/{name}", f"{checkpoint}/{name}", once, every))
+        if once:
+            jobs[-1].awaitTermination()
+        make_folder(spark, f"{tables}/{name}")
+        return spark.readStream.schema(made.schema).parquet(f"{tables}/{name}")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_detector_results(batch, results, detector.name, batch=f"{batch_id:012d}")
+
+    jobs: list[StreamingQuery] = []
+    parts = follow(partial_scores(follow(features, "windows"), detector, settings), "parts")
+    graded = graded_stream(parts, detector, settings)
+    typed = graded.withColumns({m.name: F.col(m.name).cast(kinds[m.name]) for m in detector.metrics})
+    made = result_columns(typed, detector)
+    jobs.append(_start(made.writeStream.foreachBatch(store), f"{checkpoint}/results", once, every))
+    return jobs
 
 
 def start_forecast(

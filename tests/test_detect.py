@@ -193,3 +193,54 @@ def test_helpers_travel_without_the_package(tmp_path):
     code = "import pickle,sys; pickle.load(open('functions','rb')); assert 'netvigil' not in sys.modules; print('loaded')"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "loaded", done.stderr
+
+
+def test_windows_travel_as_features_or_as_shingles(spark, surge):
+    by_shingle = scores_of(detect.rcf_score(detect.shingles(surge, CRITICAL_SURGE), CRITICAL_SURGE))
+    assert scores_of(detect.score_features(surge, CRITICAL_SURGE)) == by_shingle
+    small = replace(detect.FOREST, chunk=48)
+    assert scores_of(detect.score_features(surge, CRITICAL_SURGE, small, partitions=5)) == by_shingle
+
+
+def test_samples_hold_the_whole_past_evenly_and_merge():
+    keys = np.arange(20_000, dtype=np.int64) * MINUTE
+    points = np.arange(20_000, dtype=float)[:, None]
+    whole, _ = forest.drawn(keys, points, 256, ("e", 1))
+    assert len(whole) == 256 and (np.diff(whole) > 0).all()
+    # A window older than 1,024 before the end is as likely as any: the sample spreads over the record.
+    thirds = np.histogram(whole / MINUTE, bins=4, range=(0, 20_000))[0]
+    assert thirds.min() > 40
+    parts = [forest.drawn(keys[a:a + 3000], points[a:a + 3000], 256, ("e", 1)) for a in range(0, 20_000, 3000)]
+    merged = forest.drawn(np.concatenate([k for k, _ in parts]), np.concatenate([p for _, p in parts]), 256, ("e", 1))
+    assert (merged[0] == whole).all() and (merged[1][:, 0] == whole / MINUTE).all()
+    assert (forest.drawn(keys, points, 256, ("e", 2))[0] != whole).any()
+
+
+def test_long_records_equal_one_walk(spark):
+    """Chunks and the samples carried between them give what a single pass over the record gives."""
+    settings = ForestSettings(trees=4, tree_blocks=2, sample=32, refresh=16, chunk=64)
+    rng = np.random.default_rng(2)
+    kept = [i for i in range(2500) if i % 501 != 500]
+    rows = [("hot", BASE + i * 2 * MINUTE, float(rng.integers(9)), float(rng.normal())) for i in kept]
+    frame = spark.createDataFrame(rows, "entity string, key bigint, critical_count double, avg_packet_loss double")
+    found = scores_of(detect.score_features(frame, CRITICAL_SURGE, settings))
+    keys = np.array([r[1] for r in rows])
+    at, shingles = forest.shingle_rows(keys, np.array([r[2:] for r in rows]), 4, 2 * MINUTE)
+    total = sum(forest.score_after(
+        at, shingles, np.ones(len(at), dtype=bool), ("hot", block), (np.empty(0, np.int64), np.empty((0, 8))), 2 * MINUTE,
+        trees=2, sample=32, refresh=16, warmup=8) for block in range(2))
+    assert len(found) == len(at)
+    for key, units in zip(at.tolist(), total.tolist()):
+        assert found["hot", key] == (units / (4 * forest.SCORE_UNIT) if units >= 0 else None)
+
+
+def test_bursts_that_are_graded(spark, surge):
+    """Of the 12 hourly bursts more than half are graded, and little else is."""
+    scores = detect.score_features(surge, CRITICAL_SURGE)
+    rows = dicts(detect.anomaly_grade(scores, CRITICAL_SURGE))
+    minutes = [(r["key"] - BASE) // MINUTE for r in rows if r["anomaly_grade"]]
+    # A shingle of four windows still holds the burst six minutes after it.
+    burst = {m // 60 for m in minutes if m % 60 >= 48} | {m // 60 - 1 for m in minutes if m % 60 < 2}
+    other = [m for m in minutes if 2 <= m % 60 < 48]
+    print("bursts", len(burst), "of 12; other windows", len(other), "of", len(rows))
+    assert len(burst) > 6 and len(other) <= 0.05 * len(rows)

@@ -215,3 +215,59 @@ def test_a_large_day_ends_in_several_generations(spark):
     kept = ingest.kept_stats(ledger)
     assert rows(kept, *running.columns) == rows(running)
     assert not [p for p in Path(root).iterdir() if p.name.startswith("_arriving")]
+
+
+@pytest.mark.parametrize("detector", [UTILIZATION_SPIKE, CRITICAL_SURGE], ids=lambda d: d.name)
+def test_graded_results_equal_batch_and_double_nothing(spark, events, detector):
+    """Three jobs that are started anew for every piece of the input; the last micro-batch of the last job runs twice."""
+    followed = Replay(spark, events.schema)
+    tables_at, results, checkpoint = (new_path(spark, f"graded-{part}") for part in ("tables", "results", "checkpoint"))
+    # Pieces that end where stretches of windows end, and pieces that don't.
+    edges = [0, 96, 97, 160, 299, 480, 720]
+    for low, high in zip(edges, edges[1:]):
+        ms = F.unix_millis("timestamp")
+        followed.arrive(events.where((ms >= BASE + low * MINUTE) & (ms < BASE + high * MINUTE)))
+        jobs.start_detector(followed.stream(), detector, tables_at, results, checkpoint, once=True)[-1].awaitTermination()
+    made = tables.read_detector_results(spark, results, detector.name)
+    last = made.agg(F.max("data_start")).first()[0]
+    batch = detect.detector_results(events, detector).drop("detector").where(F.col("data_start") <= last)
+    expected = rows(batch)
+    assert len(expected) > 100 and rows(made, *batch.columns) == expected
+    commits = Path(checkpoint, "results", "commits")
+    number = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    for name in (f"{number}", f".{number}.crc"):
+        (commits / name).unlink(missing_ok=True)
+    jobs.start_detector(followed.stream(), detector, tables_at, results, checkpoint, once=True)[-1].awaitTermination()
+    again = tables.read_detector_results(spark, results, detector.name)
+    assert rows(again, *batch.columns) == expected
+
+
+def test_scores_when_pieces_end_with_stretches(spark, events):
+    features = detect.detector_features(events, CRITICAL_SURGE)
+    features = spark.createDataFrame(sorted(features.collect(), key=lambda r: r["key"]), features.schema)
+    followed = Replay(spark, features.schema)
+    for low, high in ((0, 32), (32, 96), (96, 98), (98, 128), (128, 720)):
+        followed.arrive(features.where(f"key >= {BASE + low * MINUTE} and key < {BASE + high * MINUTE}"))
+    scored = run(spark, jobs.detect_stream(followed.stream(), CRITICAL_SURGE), "scores")
+    assert rows(scored) == rows(detect.score_features(features, CRITICAL_SURGE))
+
+
+def test_grades_wait_for_all_blocks():
+    from netvigil.streaming import state
+
+    class Kept:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    import pandas as pd
+
+    step, kept, out = state.grader(["x"], MINUTE, 2, 1e6, 120, 2, 0.05), Kept(), []
+    arrivals = [[(0, 1), (0, 1), (1, 2)], [(2, 4), (2, 4)], [(1, 2)], [(3, None), (3, None), (4, 900_000), (4, 900_000)]]
+    for rows_of in arrivals:
+        frame = pd.DataFrame([("e", k * MINUTE, float(k), u) for k, u in rows_of], columns=["entity", "key", "x", "units"])
+        made = pd.concat(list(step(("e",), [frame.astype({"units": "Int64"})], kept)))
+        out.append([(r.key // MINUTE, r.x, r.anomaly_score, r.anomaly_grade) for r in made.itertuples()])
+    assert [[r[0] for r in part] for part in out] == [[0], [], [1, 2], [3, 4]]
+    assert out[0][0][2] == 2e-6 and pd.isna(out[3][0][2]) and pd.isna(out[3][0][3]) and out[3][1][3] == 1.0
