@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from netvigil.functions.metrics import clamp, mean
 from netvigil.functions.predicates import bool_query, exists, from_time, within
 from netvigil.functions.times import to_ms
-from netvigil.operators.buckets import terms_then_date
+from netvigil.operators.buckets import terms_then_date, with_date_bucket
 from netvigil.schema import MINUTE, ForecastSettings
 
 SETTINGS = ForecastSettings()
@@ -29,6 +29,20 @@ def forecast_history(events: DataFrame, as_of: datetime | int, settings: Forecas
     )
 
 
+def minute_sums(events: DataFrame, settings: ForecastSettings = SETTINGS) -> DataFrame:
+    """``total`` and ``n`` of the values of every host and bucket: what minute means are made of, and can be added up."""
+    rows = with_date_bucket(events.where(exists("utilization_pct") & exists("hostname")), settings.bucket_ms)
+    return rows.groupBy("hostname", "key").agg(
+        F.sum(F.col("utilization_pct").cast("double")).alias("total"), F.count("utilization_pct").alias("n")
+    )
+
+
+def means_of(sums: DataFrame) -> DataFrame:
+    """Minute means from sums, of which one host and bucket may have several."""
+    merged = sums.groupBy("hostname", "key").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return merged.select("hostname", "key", (F.col("total") / F.col("n")).alias("avg_utilization"))
+
+
 def regression_sums(points: DataFrame, by: list[str], x: Column, y: Column) -> DataFrame:
     """n, Σx, Σy, Σx², Σxy per group."""
     return points.groupBy(*by).agg(

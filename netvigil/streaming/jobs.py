@@ -7,7 +7,7 @@ expressions with the batch operators; the start functions attach sinks.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,13 +17,13 @@ from netvigil.functions.predicates import not_from
 from netvigil.functions.times import daily_name, event_ms, utc_text
 from netvigil.operators import forest
 from netvigil.operators.detect import FOREST, GRADE_WINDOWS, LEAST_SCORES, LEAST_SPREAD, entity_of, result_columns
-from netvigil.operators.forecast import SETTINGS, forecast
+from netvigil.operators.forecast import SETTINGS, forecast, forecast_points, means_of, minute_sums, ols_fit
 from netvigil.operators.monitor import monitored, rendered, tick_range, trigger_eval
 from netvigil.operators.lifecycle import POLICY
 from netvigil.schema import (
     EVENT_FIELDS, EVENT_PREFIX, MINUTE, Detector, ForecastSettings, ForestSettings, Monitor, Retention,
 )
-from netvigil.session import folder_names, make_folder, remove_folder, replace_folder
+from netvigil.session import exists, folder_names, make_folder, remove_folder, replace_folder
 from netvigil.sources.ingest import LEDGER, last_row, next_row, outcome_counts, parse_documents
 from netvigil.sources.tables import generation_name, read_events, stored_rows, write_detector_results, write_forecast
 from netvigil.streaming import state
@@ -292,8 +292,45 @@ def start_detector(
     return jobs
 
 
+def clock(spark: SparkSession) -> DataFrame:
+    """A stream with something in every trigger, whether or not events arrive."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+
+SUMS = "hostname string, key bigint, total double, n bigint, from_ms bigint, until_ms bigint"
+
+
+def _refit_sums(
+    spark: SparkSession, read: Callable[..., DataFrame], now: int, settings: ForecastSettings, path: str, before: str,
+    late_ms: int,
+) -> DataFrame:
+    """Minute sums of the history before ``now``: those of the run before, less what is too old, and of the minutes since.
+
+    Whole minutes that lay at least ``late_ms`` before the last run are taken from it; the others, and the minute that the
+    history starts in the middle of, are read again. Whole minutes go to ``path`` for the next run.
+    """
+    minute = settings.bucket_ms
+    since = now - settings.history_ms
+    whole_from = -(-since // minute) * minute
+    kept, again = None, whole_from
+    if exists(spark, before):
+        last = spark.read.schema(SUMS).parquet(before)
+        bounds = last.agg(F.min("from_ms"), F.max("until_ms")).first()
+        if bounds[0] is not None and bounds[0] <= whole_from:
+            again = max(whole_from, (bounds[1] - late_ms) // minute * minute)
+            kept = last.where((F.col("key") >= whole_from) & (F.col("key") < again)).select("hostname", "key", "total", "n")
+    sums = minute_sums(read(since=again), settings)
+    sums = sums if kept is None else kept.unionByName(sums)
+    stamped = sums.withColumns({"from_ms": F.lit(whole_from).cast("bigint"), "until_ms": F.lit(now).cast("bigint")})
+    stamped.coalesce(1).write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(SUMS).parquet(path).select("hostname", "key", "total", "n")
+    if since == whole_from:
+        return stored
+    return stored.unionByName(minute_sums(read(since=since, until=whole_from - 1), settings))
+
+
 def start_forecast(
-    arrivals: DataFrame,
+    arrivals: DataFrame | None,
     root: str,
     checkpoint: str,
     settings: ForecastSettings = SETTINGS,
@@ -301,24 +338,41 @@ def start_forecast(
     ingest_lag_days: int | None = 1,
     once: bool = False,
     every_ms: int | None = MINUTE,
+    sums: str | None = None,
+    late_ms: int = 5 * MINUTE,
 ) -> StreamingQuery:
     """Refits on the stored events at every trigger and files the points under the run's day.
 
-    ``arrivals`` is a stream of the events (it only sets the pace and the clock): "now" is the
-    batch's recorded time, or with ``event_clock`` its newest event. A rerun replaces its points.
-    Events of the last hour are looked for in partitions at most ``ingest_lag_days`` older than
+    ``arrivals`` is a stream of the events (it only sets the pace and the clock), or None for a clock that ticks whether
+    or not events arrive: "now" is the batch's recorded time, or with ``event_clock`` its newest event. A rerun replaces
+    its points. Events of the last hour are looked for in partitions at most ``ingest_lag_days`` older than
     they are, as an event is not filed long before it happens; with None, in all partitions.
+
+    With ``sums``, a folder, a run reads the minutes since the one before it and takes the others' sums from there; events
+    that are filed more than ``late_ms`` late then count only if a run has to read everything.
     """
+    if sums and settings.max_hosts:
+        raise ValueError("a run from sums covers every host")
 
     def refit(batch: DataFrame, batch_id: int) -> None:
         now = batch.agg(F.max("_now")).first()[0]
         if now is None:
             return
         spark: SparkSession = batch.sparkSession
-        since = now - settings.history_ms
-        recent = read_events(spark, root, include_forecast=False, since=since, ingest_lag_days=ingest_lag_days)
-        write_forecast(forecast(recent, now, settings), root, now, batch=f"{batch_id:012d}")
 
-    clock = F.col("timestamp") if event_clock else F.current_timestamp()
-    paced = arrivals.select(F.unix_millis(clock).alias("_now"))
+        def read(**bounds: int) -> DataFrame:
+            return read_events(spark, root, include_forecast=False, ingest_lag_days=ingest_lag_days, **bounds)
+
+        if sums is None:
+            points = forecast(read(since=now - settings.history_ms), now, settings)
+        else:
+            path, before = (f"{sums}/batch={n:012d}" for n in (batch_id, batch_id - 1))
+            made = _refit_sums(spark, read, now, settings, path, before, late_ms)
+            points = forecast_points(ols_fit(means_of(made)), settings)
+        write_forecast(points, root, now, batch=f"{batch_id:012d}")
+
+    if arrivals is None:
+        arrivals = clock(SparkSession.active())
+    moment = F.col("timestamp") if event_clock else F.current_timestamp()
+    paced = arrivals.select(F.unix_millis(moment).alias("_now"))
     return _start(paced.writeStream.foreachBatch(refit), checkpoint, once, every_ms)

@@ -271,3 +271,46 @@ def test_grades_wait_for_all_blocks():
         out.append([(r.key // MINUTE, r.x, r.anomaly_score, r.anomaly_grade) for r in made.itertuples()])
     assert [[r[0] for r in part] for part in out] == [[0], [], [1, 2], [3, 4]]
     assert out[0][0][2] == 2e-6 and pd.isna(out[3][0][2]) and pd.isna(out[3][0][3]) and out[3][1][3] == 1.0
+
+
+def test_refits_from_sums_equal_whole_refits(spark, events):
+    """Every run adds the minutes since the one before and drops the oldest; points are those of a fit on everything."""
+    from netvigil.operators.forecast import forecast
+
+    root, sums, checkpoint = (new_path(spark, f"sums-{part}") for part in ("root", "sums", "checkpoint"))
+    followed = Replay(spark, events.schema)
+    edges = [0, 50, 70, 71, 140]
+    for low, high in zip(edges, edges[1:]):
+        ms = F.unix_millis("timestamp")
+        part = events.where((ms >= BASE + low * MINUTE) & (ms < BASE + high * MINUTE))
+        tables.write_daily(part, root, ingest_time=BASE, batch=f"b{low}")
+        followed.arrive(part)
+        stream = followed.stream()
+        jobs.start_forecast(stream, root, checkpoint, event_clock=True, once=True, sums=sums).awaitTermination()
+    made = spark.read.parquet(root).where("source_index like '%forecast%'")
+    for number, high in enumerate(edges[1:]):
+        seen = events.where(F.unix_millis("timestamp") < BASE + high * MINUTE)
+        wanted = {(r[0], r[1]): r[2] for r in forecast(seen, newest_ms(seen)).select("hostname", "timestamp", "utilization_pct").collect()}
+        found = {(r["hostname"], r["timestamp"]): r["utilization_pct"] for r in made.where(f"batch = '{number:012d}'").collect()}
+        assert found.keys() == wanted.keys() and len(found) > 15
+        assert all(abs(found[k] - v) < 0.02 for k, v in wanted.items())
+
+
+def test_refits_without_arrivals(spark):
+    import time
+    from datetime import datetime, timezone
+
+    now = int(time.time() * 1000)
+    rows_of = [{"ms": now - m * MINUTE, "hostname": "h", "utilization_pct": 20 + m} for m in range(2, 40)]
+    root, checkpoint = new_path(spark, "clock-root"), new_path(spark, "clock-checkpoint")
+    tables.write_daily(event_rows(spark, rows_of), root, datetime.now(timezone.utc))
+    query = jobs.start_forecast(None, root, checkpoint, every_ms=1000, sums=new_path(spark, "clock-sums"))
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            made = spark.read.parquet(root).where("source_index like '%forecast%'")
+            if made.select("batch").distinct().count() >= 3:
+                break
+    finally:
+        query.stop()
+    assert made.groupBy("batch").count().where("count = 15").count() >= 2
