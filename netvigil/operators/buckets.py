@@ -64,6 +64,13 @@ def _step(first: Column, last: Column, buckets: int) -> Column:
     return step.cast("bigint")
 
 
+def interval_between(first_ms: int, last_ms: int, buckets: int = AUTO_BUCKETS) -> int:
+    """The automatic interval of rows whose first and last moment are known: the one ``auto_interval`` finds."""
+    most = AUTO_LADDER[-1]
+    longer = most * max(1, -(-(last_ms - first_ms) // (most * (buckets - 2))))
+    return next((w for w in AUTO_LADDER if last_ms // w - first_ms // w + 1 <= buckets), longer)
+
+
 def interval_for(span_ms: int, buckets: int = AUTO_BUCKETS) -> int:
     """The automatic interval of a time range known beforehand."""
     most = AUTO_LADDER[-1]

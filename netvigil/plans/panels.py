@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netvigil.functions.metrics import above, color_band, mean
-from netvigil.functions.predicates import geo_box, term, within
+from netvigil.functions.predicates import geo_box, not_from, term, within
 from netvigil.functions.times import to_ms
 from netvigil.operators.buckets import (
     date_histogram,
     date_then_terms_topn,
     fill_gaps,
     geohash_grid,
+    interval_between,
     interval_for,
     numeric_histogram,
     terms_other,
@@ -22,6 +23,7 @@ from netvigil.operators.buckets import (
     with_date_bucket,
     with_totals_row,
 )
+from netvigil.operators.lifecycle import stored_inventory
 from netvigil.schema import MINUTE, SECOND
 
 Moment = datetime | int | None
@@ -49,6 +51,14 @@ def _interval(interval: Interval, since: Moment, until: Moment) -> Interval:
     return interval
 
 
+def stored_interval(spark: SparkSession, root: str, as_of: date | None = None) -> int | None:
+    """The automatic interval of a stored table's events, from the footers of its files: with it, a panel over the whole
+    table reads the rows once. None where there are no events."""
+    inventory = stored_inventory(spark, root, as_of or date.today()).where(not_from("forecast"))
+    first, last = inventory.agg(F.min("first_ms"), F.max("last_ms")).first()
+    return None if first is None else interval_between(first, last)
+
+
 def _critical() -> Column:
     return term("severity", "CRITICAL")
 

@@ -13,6 +13,7 @@ from netvigil.registry.common import (
     LATENCY,
     LOSS,
     UTIL,
+    event_table,
     fit_sql,
     history_sql,
     points_sql,
@@ -20,6 +21,7 @@ from netvigil.registry.common import (
 )
 from netvigil.schema import EVENT_PREFIX, FORECAST_PREFIX
 from netvigil.sources.adapter import telemetry
+from netvigil.sources.tables import read_events
 
 
 def band_sql(value: str, edges: tuple[int, ...]) -> str:
@@ -80,6 +82,17 @@ def panel_severity_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.severity_timeline(telemetry(spark, sf_dir))
 
 
+@register(
+    "panel_severity_timeline_stored",
+    _ranked("severity", "count(*)", "count", 5) + "SELECT key, severity, count FROM top",
+)
+def panel_severity_timeline_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored table: file footers give the interval, and the rows are read once."""
+    root = event_table(spark, sf_dir)
+    step = panels.stored_interval(spark, root)
+    return panels.severity_timeline(read_events(spark, root, include_forecast=False), interval=step)
+
+
 @register(
     "panel_host_heatmap",
     _ranked("hostname", UTIL, "avg_utilization", 10) + "SELECT key, hostname, avg_utilization FROM top",

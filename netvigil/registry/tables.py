@@ -16,7 +16,7 @@ from netvigil.registry.common import (
     points_sql,
     register,
 )
-from netvigil.registry.detection import SPIKE_SQL, SURGE_SQL
+from netvigil.registry.detection import SPIKE_SCORED, SURGE_SCORED, in_range
 from netvigil.schema import DETECTORS, KEYWORD_LIMIT, NUMERIC_FIELDS
 from netvigil.session import new_path
 from netvigil.sources import ingest
@@ -122,13 +122,24 @@ def write_forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "write_detector_results",
-    SPIKE_SQL + SURGE_SQL + """SELECT 'noc-utilization-spike' AS detector, entity, key FROM spike_full UNION ALL
-SELECT 'noc-critical-surge', entity, key FROM surge_full""",
+    SPIKE_SCORED + SURGE_SCORED + """SELECT 'noc-utilization-spike' AS detector, entity, key, key + 60000 AS until, avg_utilization AS first,
+  max_utilization AS second, avg_latency AS third, scored, true AS in_range FROM spike JOIN spike_full_scored USING (entity, key)
+UNION ALL SELECT 'noc-critical-surge', entity, key, key + 120000, CAST(critical_count AS DOUBLE), avg_packet_loss, NULL, scored, true
+FROM surge JOIN surge_full_scored USING (entity, key)""",
 )
 def write_detector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of both result tables."""
     root = new_path(spark, "detector-results")
+    made = []
     for detector in DETECTORS:
-        write_detector_results(detect.detector_results(telemetry(spark, sf_dir), detector), root, detector.name)
-    written = [read_detector_results(spark, root, d.name) for d in DETECTORS]
-    columns = ["detector", "entity", event_ms("data_start").alias("key")]
-    return reduce(DataFrame.unionByName, [table.select(*columns) for table in written])
+        results = detect.detector_results(telemetry(spark, sf_dir), detector)
+        write_detector_results(results, root, detector.name, batch="0")
+        written = read_detector_results(spark, root, detector.name)
+        values = [F.col(m.name).cast("double") for m in detector.metrics] + [F.lit(None).cast("double")]
+        made.append(written.select(
+            "detector", "entity", event_ms("data_start").alias("key"), event_ms("data_end").alias("until"),
+            *[v.alias(n) for v, n in zip(values, ("first", "second", "third"))],
+            F.col("anomaly_score").isNotNull().alias("scored"),
+            (in_range("anomaly_score")[1] & in_range("anomaly_grade")[1]).alias("in_range"),
+        ))
+    return reduce(DataFrame.unionByName, made)

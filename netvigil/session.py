@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     builder = SparkSession.builder.master(f"local[{cores}]").appName("netvigil")
     settings = {
         **SESSION_CONF,
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         **conf,
     }

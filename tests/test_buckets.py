@@ -134,3 +134,12 @@ def test_automatic_interval_counts_aligned_buckets(spark):
     for first, span in ((30_000, 6_000_000), (30_000, 5_999_999), (0, 5_999_999), (5, 400 * 365 * 86_400_000)):
         step = spark.range(1).select(buckets._step(F.lit(first).cast("long"), F.lit(first + span).cast("long"), 100)).first()[0]
         assert (first + span) // step - first // step + 1 <= 100
+
+
+def test_known_bounds_give_the_same_interval(spark):
+    from netvigil.operators import buckets
+
+    for first, span in ((0, 0), (999, 1), (5_000, 99_000), (5_001, 100_000), (1, 86_400_000), (7, 30 * 86_400_000), (3, 4 * 10**12)):
+        rows = event_rows(spark, [{"ms": first}, {"ms": first + span}])
+        found = rows.agg(F.max(F.lit(1))).select(buckets.auto_interval(rows)).first()[0]
+        assert buckets.interval_between(first, first + span) == found

@@ -52,3 +52,9 @@ def test_shuffle_is_reused_instead_of_a_second_scan(spark, sf_dir, name):
 
 def test_top_per_bucket_is_cut_before_the_shuffle(spark, sf_dir):
     assert "row_number(), 2, Partial" in executed_plan(driver.queries()["date_then_terms_topn"](spark, sf_dir))
+
+
+def test_a_stored_panel_reads_the_rows_once(spark, sf_dir):
+    plan = executed_plan(driver.queries()["panel_severity_timeline_stored"](spark, sf_dir))
+    final = plan[plan.index("Final Plan"):].split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1 and "Subquery" not in final
