@@ -217,13 +217,14 @@ def _confident(edges: DataFrame, settings: Bootstrap) -> DataFrame:
 
 
 def personal_data(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans) for every row of ``docs``.
+    """(doc_id, n_email, n_ip, n_card, n_phone, n_context, n_spans, base_sha256, spans) for every row of ``docs``.
 
     ``spans`` joins kind:start:end (code points, end exclusive) of all spans with commas, by start, then kind;
     base_sha256 is the SHA-256 of the same over the base kinds alone. Base spans never depend on other rows;
     context spans never overlap them. ``docs`` needs doc_id and text; other columns are ignored. Null and empty
     texts have no spans; texts may be of any length; repeated rows and rows without doc_id are rows like others;
-    an empty table gives an empty result. Of the corpus only counts per pattern and value move between executors.
+    an empty table gives an empty result. Candidates of over 256 characters, failed matches of over 64 digits and
+    words beyond 32 characters next to a value have no part in the graph; base spans know no such bounds. Of the corpus only counts per pattern and value move between executors.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     read = stored(texts.mapInArrow(_read, _ROWS), "spans")
@@ -242,6 +243,7 @@ def personal_data(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFra
     text = lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["first"], s["last"])
     return joined.select(
         "doc_id", *[F.col("counts")[i].alias(f"n_{k}") for i, k in enumerate(KINDS[:4])],
-        F.coalesce(F.size("extra"), F.lit(0)).cast("long").alias("n_context"), "base_sha256",
+        F.coalesce(F.size("extra"), F.lit(0)).cast("long").alias("n_context"),
+        F.size(every).cast("long").alias("n_spans"), "base_sha256",
         F.array_join(F.transform(every, text), ",").alias("spans"),
     )
