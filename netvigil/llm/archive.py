@@ -315,7 +315,8 @@ def read_packages(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every row of ``pages``, written to packages in
-    the shared folder and read back from them."""
+    the shared folder and read back from them. Null html is the empty payload, payloads of any length are written whole, repeated
+    rows have a record each, further columns are ignored, and an empty table gives no rows."""
     spark: SparkSession = pages.sparkSession
     manifest = write_packages(pages, new_path(spark, "archives"))
     return read_packages(manifest, with_payload=False).drop("payload", "url")

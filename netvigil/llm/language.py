@@ -259,7 +259,7 @@ def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     ``docs`` needs doc_id, text and lang; other columns are ignored. A prediction sees the text only. Null texts and
     texts without a letter are ``und`` with score 0, and so is everything when no row teaches a language. A row
-    without doc_id is neither held out nor learned from. Repeated rows are predicted alike; the score is the product
+    without doc_id is neither held out nor learned from. Very long texts are read whole; an empty table gives no rows. Repeated rows are predicted alike; the score is the product
     of how sure both steps are, from 0 to 1.
     """
     shared = Sent(docs.sparkSession, fit(_learnable(docs), settings))

@@ -400,7 +400,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     ``text`` is the main text, blocks joined by one space; n_chars counts its code points. Null and empty html give the
     empty text; null urls form a host of their own. Pages of a host with equal lines are one page, at the first of their
-    paths, and each come back; pages under one URL are neighbours too. Only line hashes are sorted and compared; page texts are shuffled at most
+    paths, and each come back; pages under one URL are neighbours too. Very long pages are read whole; an empty table gives no
+    rows. Only line hashes are sorted and compared; page texts are shuffled at most
     once, and not at all when the table of deleted lines is small enough for the session to broadcast.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

@@ -138,7 +138,8 @@ def top_products(
     Components are floor(factor * x) as integers; ties go to the smaller vec_id; a query with fewer than k other rows
     gets them all. Vectors that are null or hold null or non-finite components take no part, nor do rows without
     vec_id; vectors are compared with those of their own number of components only, an empty one scores 0 with others.
-    Of rows that repeat a vec_id the one with the greatest vector counts. Other columns are ignored. Scores beyond
+    Of rows that repeat a vec_id the one with the greatest vector counts, as a result names rows by it. Other columns are
+    ignored; an empty table gives no rows. Scores beyond
     64 bits are held at the limit.
     """
     rows = vectors.select(

@@ -283,7 +283,8 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY, keep_text: bool =
 
     ``exact``: whether decoding gave back the text (null counts as empty). ``decoded`` is null without ``keep_text``.
     Null and empty texts have an empty list of ids and decode to the empty text; texts may be of any length;
-    repeated rows, null doc_ids and further columns need no care (only doc_id and text are read). The vocabulary,
+    repeated rows, null doc_ids and further columns need no care (only doc_id and text are read); an empty table gives no
+    rows. The vocabulary,
     whose size is fixed, is read on the driver and broadcast.
     """
     spark: SparkSession = docs.sparkSession

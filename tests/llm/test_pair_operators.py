@@ -358,3 +358,29 @@ def test_pipeline_is_its_stages_by_brute_force(spark, sf_dir):
     left = {i for i, t in plain.items() if not any(f" {x} " in f" {t} " for x in items)}
     found = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id for r in found} == left and all(r.exact for r in found)
+
+
+@pytest.mark.parametrize("name", ["language_id", "line_dedup", "near_duplicates", "decontamination", "unigram_encoding"])
+def test_stages_take_odd_rows(spark, sf_dir, name):
+    """Nulls in every column, empty and long texts, repeated rows, clashing columns, empty tables."""
+    import corpus_pipeline
+
+    rows = [
+        (1, None, "en", "a", None), (2, "", None, None, 0), (None, "Is this text null?", None, "a", 18),
+        (3, "word " * 60_000 + "x" * 300_000, "en", "a", 2), (4, "the same text", "en", "b", 3),
+        (4, "the same text", "en", "b", 3), (None, None, None, None, None), (5, "\n\n \n", "de", "", 4),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr(
+        "*", "1 AS wanted", "2 AS kept", "3 AS score", "4 AS key", "5 AS ids", "6 AS plain_text", "7 AS n_tokens")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    made = stage(spark, docs, sf_dir)
+    found = [(r["doc_id"], r["text"] if "text" in made.columns else None) for r in made.collect()]
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    if name != "unigram_encoding":
+        assert made.columns == docs.columns and made.schema == docs.schema
+    if name == "language_id":
+        assert sorted(str(i) for i, _ in found) == ["3", "4", "4", "None"]
+        assert made.where("lang is null").count() == 0
+    else:
+        # Repeated rows are copies: one of them stays.
+        assert len(found) == (7 if name == "near_duplicates" else 8)
