@@ -1,7 +1,9 @@
 """A corpus pipeline: documents with a language, without boilerplate lines, near duplicates and test items, as token ids.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; all but the last return
-the columns of documents, further ones included.
+the columns of documents, further ones included, whatever their names. An empty table stays empty in all stages; texts of any
+length are read whole. Null texts go in the first stage; run on their own, the others keep rows with null or empty texts,
+and rows without doc_id are no duplicates of others. Of repeated rows near_duplicates keeps one; elsewhere they stay or go together.
 """
 
 from __future__ import annotations
