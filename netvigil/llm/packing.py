@@ -17,6 +17,7 @@ Packets travel once, to the task of their range of rounds, which holds an equal
 
 from __future__ import annotations
 
+import os
 import sys
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from netvigil.llm.common import partitions
 from netvigil.session import stored
@@ -38,17 +40,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH, PACKET, END = 4096, 512, 2
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks of text whose ids a task keeps; bytes of text that are split together.
-KNOWN, TOGETHER = 1 << 19, 1 << 23
+KNOWN, TOGETHER = 1 << 19, 1 << 22
 #: Ranges of rounds for each shuffle partition: with several, they are spread evenly.
 RANGES = 4
 
 TOKENS = "doc_id long, queue string, part int, before long, n long, ids binary"
+#: Ids travel in 16 bits where all of a vocabulary fit.
+NARROW, WIDE = "<u2", "<u4"
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "queue string"
 )
 
 
+def kind_of(tokenizer) -> str:
+    return NARROW if tokenizer.get_vocab_size() <= 1 << 16 else WIDE
+
+
 class Encoder:
     """Ids of texts by ``tokenizers``, which is asked once for each different chunk between ASCII white space.
 
@@ -58,11 +66,12 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
+        # One thread: a task has one core, and every further thread keeps memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.between, self.border = next(iter(self.special.items()))
+        self.kind = kind_of(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
@@ -123,14 +132,14 @@ def _tokeniser(path: str, end: int):
         encoder, met, part = Encoder(path), {}, TaskContext.get().partitionId()
         for batch in batches:
             # Few documents at a time: what is held grows with texts, not with the rows of a batch.
-            for low in range(0, batch.num_rows, 2500):
-                some = batch.slice(low, 2500)
+            for low in range(0, batch.num_rows, 1000):
+                some = batch.slice(low, 1000)
                 before, sizes, ids = [], [], []
                 for queue, found in zip(some.column(1).to_pylist(), encoder.encode(some.column(2))):
                     before.append(met.get(queue, 0))
                     sizes.append(len(found) + 1)
                     met[queue] = before[-1] + sizes[-1]
-                    ids.append(np.append(found, np.uint32(end)).astype("<u4").tobytes())
+                    ids.append(np.append(found, np.uint32(end)).astype(encoder.kind).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0), some.column(1), pa.array([part] * len(ids), pa.int32()),
@@ -143,7 +152,8 @@ def _tokeniser(path: str, end: int):
 
 
 def tokens(docs: DataFrame, path: str, end: int = END, queue: Column | None = None) -> DataFrame:
-    """Every row's ids (32-bit, little-endian) with ``end`` behind them, as stored; null texts are empty."""
+    """Every row's ids (little-endian, 16 bits if the vocabulary allows) with ``end`` behind them, as stored; null texts are
+    empty."""
     queue = F.coalesce(F.col("source").cast("string"), F.lit("")) if queue is None else queue
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), queue.alias("queue"),
@@ -173,13 +183,14 @@ def stretches(sizes: dict[str, int], weights: dict[str, float], length: int) ->
     return out
 
 
-def _placed(with_ids: bool, ranges: int, rounds: int):
-    """Splits documents into packets, and each packet's round follows from where it ends in its queue."""
+def _placed(width: int, ranges: int, rounds: int):
+    """Splits documents into packets, and each packet's round follows from where it ends in its queue. ``width``: bytes of an
+    id, or 0 where ids are left out."""
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             n, queued = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             plan = batch.column(4)
-            first_of, steps = plan.offsets.to_numpy(), plan.flatten()
+            first_of, steps = plan.offsets.to_numpy(), plan.flatten()  # offsets go on from an earlier slice
             first, quantum, sent, until = (steps.field(i).to_numpy() for i in range(4))
             credit = batch.column(5).to_numpy()
             count = -(-n // PACKET)
@@ -203,10 +214,10 @@ def _placed(with_ids: bool, ranges: int, rounds: int):
                 pa.array(size),
             ]
             names = ["span", "round", "queue", "e", "size"]
-            if with_ids:
+            if width:
                 data = batch.column(6).to_pylist()
                 out += [batch.column(0).take(of), pa.array(n[row]), pa.array(at)]
-                out += [pa.array([data[r][4 * a:4 * (a + s)] for r, a, s in zip(row, at, size)], pa.binary())]
+                out += [pa.array([data[r][width * a:width * (a + s)] for r, a, s in zip(row, at, size)], pa.binary())]
                 names += ["doc_id", "doc_tokens", "at", "ids"]
             yield pa.RecordBatch.from_arrays(out, names)
 
@@ -228,7 +239,7 @@ def sequence_of(place: int, total: int, length: int) -> tuple[int, int, int]:
     raise ValueError(f"place {place} lies behind {total} tokens")
 
 
-def _cutter(starts: np.ndarray, total: int, length: int):
+def _cutter(starts: np.ndarray, total: int, length: int, kind: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in the order of the stream within each span; ``starts`` has the place of each span's first token."""
         columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"]
@@ -246,7 +257,7 @@ def _cutter(starts: np.ndarray, total: int, length: int):
                     if piece:
                         out.append(tuple(piece[:8]))
                     span, place, piece = of, int(starts[of]), None
-                done = 0
+                done, ids = 0, np.frombuffer(ids, kind).astype(WIDE).tobytes()
                 while done < size:
                     sequence, offset, room = sequence_of(place, total, length)
                     n = min(size - done, room)
@@ -293,6 +304,7 @@ def packed(
         if min(weights.values()) <= 0:
             raise ValueError("weights must be positive")
         source = F.when(source.isin(list(weights)), source).otherwise(F.lit(""))
+    kind = kind_of(Tokenizer.from_file(path))
     held = tokens(docs, path, end, source)
     spark = held.sparkSession
     mine = held.groupBy("queue", "part").agg(F.sum("n").alias("n"))
@@ -316,13 +328,13 @@ def packed(
     of = held.join(known, ["queue", "part"]).withColumn("place", F.col("before") + F.col("earlier"))
     columns = ["doc_id", "queue", "n", "place", "plan", credit]
     ranges = min(rounds, RANGES * partitions(held))
-    spans = of.select(*columns).mapInArrow(_placed(False, ranges, rounds), "span long, round long, queue string, e long, size long")
+    spans = of.select(*columns).mapInArrow(_placed(0, ranges, rounds), "span long, round long, queue string, e long, size long")
     starts = np.zeros(ranges + 1, dtype=np.int64)
     for span, n in spans.groupBy("span").agg(F.sum("size")).collect():
         starts[span + 1] = n
     placed = of.select(*columns, "ids").mapInArrow(
-        _placed(True, ranges, rounds),
+        _placed(np.dtype(kind).itemsize, ranges, rounds),
         "span long, round long, queue string, e long, size long, doc_id long, doc_tokens long, at long, ids binary",
     )
     ordered = placed.repartition("span").sortWithinPartitions("span", "round", "queue", "e").drop("round")
-    return ordered.mapInArrow(_cutter(np.cumsum(starts), total, length), PIECES)
+    return ordered.mapInArrow(_cutter(np.cumsum(starts), total, length, kind), PIECES)
