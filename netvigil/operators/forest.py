@@ -179,27 +179,29 @@ def score_after(
     """Score sums over ``trees``, in millionths, of the ``wanted`` windows of one entity; -1 without score; keys ascend.
 
     ``held`` is the sample of everything before the first key. Windows are scored in aligned stretches of
-    ``refresh``; a stretch's trees hold the sample of all windows before it, however long ago.
+    ``refresh``; a stretch's trees hold the sample of all windows before it, however long ago. Trees are drawn by what is in
+    the sample, so they are kept while it stays the same: the longer a record, the more seldom a new window enters it.
     """
     salt = zlib.crc32(f"{seed[1]} {seed[0]}".encode())
     span = refresh * interval
     scores = np.full(len(keys), -1, dtype=np.int64)
     stretch = keys - keys % span
-    taken = 0
+    taken, grown = 0, None
     for start in np.unique(stretch[wanted]):
         end = int(np.searchsorted(keys, start))
-        held = drawn(
+        before, held = held, drawn(
             np.concatenate([held[0], keys[taken:end]]), np.concatenate([held[1], shingles[taken:end]]), sample, seed
         )
         taken = end
         if len(held[0]) < warmup:
             continue
-        rng = np.random.default_rng([salt, int(start // span) & 0xFFFFFFFF])
-        deviation = held[1].std(axis=0)
-        scale = np.where(deviation > 0, deviation, 1.0)
+        if grown is None or not np.array_equal(before[0], held[0]):
+            rng = np.random.default_rng([salt, zlib.crc32(held[0].tobytes())])
+            deviation = held[1].std(axis=0)
+            scale = np.where(deviation > 0, deviation, 1.0)
+            grown = grow(np.repeat((held[1] / scale)[None], trees, axis=0), rng)
         due = np.flatnonzero((stretch == start) & wanted)
-        forest = grow(np.repeat((held[1] / scale)[None], trees, axis=0), rng)
-        found = displacement(forest, trees, shingles[due] / scale, keys[due], salt)
+        found = displacement(grown, trees, shingles[due] / scale, keys[due], salt)
         scores[due] = np.rint(found * SCORE_UNIT).astype(np.int64).sum(axis=0)
     return scores
 

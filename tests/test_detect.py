@@ -244,3 +244,22 @@ def test_bursts_that_are_graded(spark, surge):
     other = [m for m in minutes if 2 <= m % 60 < 48]
     print("bursts", len(burst), "of 12; other windows", len(other), "of", len(rows))
     assert len(burst) > 6 and len(other) <= 0.05 * len(rows)
+
+
+def test_trees_are_kept_while_their_sample_stays(monkeypatch):
+    grown = []
+    real = forest.grow
+    monkeypatch.setattr(forest, "grow", lambda points, rng: grown.append(len(points)) or real(points, rng))
+    rng = np.random.default_rng(3)
+    keys = np.arange(4000, dtype=np.int64) * MINUTE
+    points = rng.normal(size=(4000, 2))
+    empty = np.empty(0, np.int64), np.empty((0, 2))
+    options = dict(interval=MINUTE, trees=2, sample=16, refresh=16, warmup=8)
+    whole = forest.score_after(keys, points, np.ones(4000, dtype=bool), ("e", 0), empty, **options)
+    assert len(grown) < 120 and (whole[16:] >= 0).all()
+    # In pieces, as micro-batches come: the same scores, whatever is grown again.
+    for cut in (1600, 1607):
+        held = forest.drawn(keys[:1600], points[:1600], 16, ("e", 0))
+        wanted = keys[1600:] >= cut * MINUTE
+        again = forest.score_after(keys[1600:], points[1600:], wanted, ("e", 0), held, **options)
+        assert (again[wanted] == whole[1600:][wanted]).all()
