@@ -3,7 +3,8 @@
 Vectors are ranked by length and cut into buckets; queries, a stated part of the rows, are cut into blocks in the
 same order. Buckets are searched in rounds of doubling number, longest first, and after each round every query knows
 the score that a new result must reach. A query enters a bucket only if its length times the bucket's largest
-could reach it. In the bucket that score is a cosine threshold: a high one prunes by the query's largest coordinate
+could reach it; lengths fall from bucket to bucket, so a block is sent to the first buckets of a round only, as far as any
+of its queries needs. In the bucket that score is a cosine threshold: a high one prunes by the query's largest coordinate
 (a candidate's direction must lie near the query's there), a low one by length. What is left is verified by exact
 integer products.
 """
@@ -37,14 +38,25 @@ def scaled(vector: Column, factor: int) -> Column:
     return F.when(good, F.transform(vector, lambda x: F.floor(F.lit(float(factor)) * x.cast("double")).cast("long")))
 
 
+def needed(lengths: np.ndarray, least: np.ndarray) -> float:
+    """The length that a bucket's longest vector must have for any of the queries to reach its score."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        each = (least - 1e-6) / (lengths * (1 + 1e-9))
+    # A query of length zero reaches zero, with any vector.
+    return float(np.where(lengths > 0, each, np.where(least <= 0, -np.inf, np.inf)).min()) * (1 - 1e-12)
+
+
 def _packed(name: str):
     def rows(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["place"])
         matrix = np.array(own["vector"].tolist(), "<i8").reshape(len(own), int(key[1]))
+        # Components travel in 16 bits where all of them fit.
+        narrow = bool(matrix.size) and -(1 << 15) <= matrix.min() and matrix.max() < 1 << 15
+        length, least = own["length"].to_numpy("<f8"), own["least"].fillna(-(1 << 62)).to_numpy("<i8")
         return pd.DataFrame({
             name: [int(key[0])], "dim": [int(key[1])], "ids": [own["vec_id"].to_numpy("<i8").tobytes()],
-            "matrix": [matrix.tobytes()], "lengths": [own["length"].to_numpy("<f8").tobytes()],
-            "least": [own["least"].fillna(-(1 << 62)).to_numpy("<i8").tobytes()],
+            "matrix": [matrix.astype("<i2").tobytes() if narrow else matrix.tobytes()], "narrow": [narrow],
+            "lengths": [length.tobytes()], "least": [least.tobytes()], "top": [length.max()], "need": [needed(length, least)],
         })
 
     return rows
@@ -112,11 +124,12 @@ def _round(k: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                shape = lambda data: np.frombuffer(data, "<i8").reshape(-1, int(row.dim))
+                shape = lambda data, narrow: np.frombuffer(data, "<i2" if narrow else "<i8").astype("<i8").reshape(-1, int(row.dim))
                 array = lambda data, kind="<i8": np.frombuffer(data, kind)
                 ids, query_ids = array(row.ids), array(row.query_ids)
                 matrix, queries = (
-                    shape(m) if row.dim else np.zeros((n, 0), np.int64) for m, n in ((row.matrix, len(ids)), (row.query_matrix, len(query_ids)))
+                    shape(m, narrow) if row.dim else np.zeros((n, 0), np.int64)
+                    for m, narrow, n in ((row.matrix, row.narrow, len(ids)), (row.query_matrix, row.query_narrow, len(query_ids)))
                 )
                 found = list(search_bucket(
                     k, ids, matrix, array(row.lengths, "<f8"), query_ids, queries, array(row.query_lengths, "<f8"), array(row.query_least)
@@ -156,10 +169,10 @@ def top_products(
     # Each number of components starts buckets of its own; there are few.
     start = F.create_map(*[F.lit(x) for d, lo, _ in firsts for x in (d, lo)])[F.col("dim")]
     ranked = ranked.withColumn("in_dim", F.col("place") - start).withColumn("least", F.lit(None).cast("long"))
-    kind = "dim int, ids binary, matrix binary, lengths binary, least binary"
+    kind = "dim int, ids binary, matrix binary, narrow boolean, lengths binary, least binary, top double, need double"
     buckets = stored(
         ranked.withColumn("bucket", F.floor(F.col("in_dim") / BUCKET)).groupBy("bucket", "dim")
-        .applyInPandas(_packed("bucket"), f"bucket long, {kind}").drop("least"), "buckets",
+        .applyInPandas(_packed("bucket"), f"bucket long, {kind}").drop("least", "need"), "buckets",
     )
     asking = stored(
         ranked.where("asks").withColumn("block", F.floor(F.col("in_dim") / SPAN))
@@ -175,10 +188,17 @@ def top_products(
         limits = limits.where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least")
         blocks = asking.join(limits, "vec_id", "left").groupBy("block", "dim")
         blocks = blocks.applyInPandas(_packed("block"), f"block long, {kind}").toDF(
-            "block", "dim", "query_ids", "query_matrix", "query_lengths", "query_least"
+            "block", "dim", "query_ids", "query_matrix", "query_narrow", "query_lengths", "query_least", "query_top", "need"
         )
-        pairs = blocks.withColumn("bucket", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi - 1).cast("long"))))
-        found = pairs.join(buckets.where(F.col("bucket").between(lo, hi - 1)), ["bucket", "dim"])
+        due = buckets.where(F.col("bucket").between(lo, hi - 1))
+        # One number for each bucket of the round, longest first.
+        tops = due.groupBy("dim").agg(F.sort_array(F.collect_list("top"), asc=False).alias("tops"))
+        reached = F.size(F.filter("tops", lambda top: top >= F.col("need")))
+        pairs = blocks.join(tops, "dim").withColumn("reached", reached).where("reached > 0").drop("tops")
+        pairs = pairs.withColumn("bucket", F.explode(F.sequence(
+            F.lit(lo).cast("long"), F.lit(lo).cast("long") + F.col("reached") - 1
+        )))
+        found = pairs.join(due, ["bucket", "dim"])
         found = found.mapInPandas(_round(k), "query_id long, vec_id long, score long")
         best = best.union(found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         best = stored(best.select("query_id", "vec_id", "score"), "best")

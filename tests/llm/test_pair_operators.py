@@ -384,3 +384,42 @@ def test_stages_take_odd_rows(spark, sf_dir, name):
     else:
         # Repeated rows are copies: one of them stays.
         assert len(found) == (7 if name == "near_duplicates" else 8)
+
+
+def test_a_block_needs_what_its_queries_need():
+    lengths, least = np.array([10.0, 4.0, 0.0]), np.array([50, 12, 1])
+    assert topk.needed(lengths, least) == pytest.approx(3.0, abs=1e-6) and topk.needed(lengths, least) < 3
+    assert topk.needed(lengths, np.array([50, -(1 << 62), 1])) < 0 and topk.needed(lengths, np.array([50, 12, 0])) == -np.inf
+    assert topk.needed(np.array([0.0]), np.array([1])) == np.inf
+
+
+def test_far_buckets_get_no_block(spark, monkeypatch):
+    """Long vectors first: once a block's thresholds are known, buckets of short vectors aren't sent to it."""
+    monkeypatch.setattr(topk, "BUCKET", 16)
+    monkeypatch.setattr(topk, "SPAN", 64)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * 0.9 ** (i // 16)]) for i in range(640)]
+    seen, real = spark.sparkContext.accumulator(0), topk._round
+
+    def counted(k):
+        inner = real(k)
+
+        def rows_of(batches):
+            def each():
+                for batch in batches:
+                    seen.add(len(batch))
+                    yield batch
+
+            return inner(each())
+
+        return rows_of
+
+    monkeypatch.setattr(topk, "_round", counted)
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_products(vectors, F.col("vec_id") % 20 == 0, 5).collect()
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    for q in range(0, 640, 20):
+        scores = sorted(((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q))[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -s) for s, i in scores]
+    # 40 buckets and 10 blocks: all pairs are 400.
+    assert 40 <= seen.value < 200
