@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from netvigil.operators.chunks import running_total
+from netvigil.functions.times import bucket_start
 from netvigil.schema import DAY, EVENT_FIELDS, KEYWORD_LIMIT, LOCATION_TYPE, NUMERIC_FIELDS, Retention
-from netvigil.session import exists, stored
+from netvigil.session import exists
 
 # Shapes of an ISO date, optional time and optional zone; of a number; of a pair of them.
 DATE_TIME = (
@@ -174,18 +174,41 @@ def kept_stats(ledger: DataFrame) -> DataFrame:
 
 
 def with_running_stats(batches: DataFrame, batches_per_chunk: int = 4096) -> DataFrame:
-    """Adds running totals and the documents accepted per second since the first one was sent."""
-    totals = running_total(
-        batches, "batch_id", {"total_ok": "docs_ok", "total_rejected": "docs_rejected"}, batches_per_chunk
+    """Adds running totals and the documents accepted per second since the first one was sent.
+
+    Batches are gathered in chunks, one row each. What the chunks before a chunk add up to comes from a window over these
+    rows; both uses of a chunk take the whole row, so Spark shuffles once and nothing below is run again.
+    """
+    row = F.struct("batch_id", *[c for c in batches.columns if c != "batch_id"])
+    chunks = batches.groupBy(bucket_start(F.col("batch_id"), batches_per_chunk).alias("_chunk")).agg(
+        F.array_sort(F.collect_list(row)).alias("_rows")
+    )
+
+    def added(field: str) -> Column:
+        return F.aggregate("_rows", F.lit(0).cast("bigint"), lambda total, r: total + r[field])
+
+    upto = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = chunks.select(
+        "_chunk", added("docs_ok").alias("_ok"), added("docs_rejected").alias("_rejected"),
+        F.array_min(F.transform("_rows", lambda r: r["first_ms"])).alias("_first"),
+    )
+    before = sums.select(
+        F.col("_chunk").alias("_of"), F.coalesce(F.sum("_ok").over(upto), F.lit(0)).alias("_ok"),
+        F.coalesce(F.sum("_rejected").over(upto), F.lit(0)).alias("_rejected"), F.min("_first").over(whole).alias("_first"),
     )
-    seconds = (F.col("last_ms") - batches.agg(F.min("first_ms")).scalar()) / 1000.0
+    # An equality that drops nulls would be pushed below one of the two uses, which then differ.
+    rows = chunks.join(before, F.col("_chunk").eqNullSafe(F.col("_of"))).select("_chunk", "_ok", "_rejected", "_first", F.inline("_rows"))
+    inside = Window.partitionBy("_chunk").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    totals = rows.withColumns({
+        "total_ok": F.col("_ok") + F.sum("docs_ok").over(inside),
+        "total_rejected": F.col("_rejected") + F.sum("docs_rejected").over(inside),
+    })
+    seconds = (F.col("last_ms") - F.col("_first")) / 1000.0
     rate = F.when(seconds > 0, F.round(F.col("total_ok") / seconds, 6)).otherwise(F.lit(0.0))
-    return totals.withColumn("docs_per_s", rate).drop("first_ms", "last_ms")
+    return totals.withColumn("docs_per_s", rate).drop("_chunk", "_ok", "_rejected", "_first", "first_ms", "last_ms")
 
 
 def ingest_stats(raw: DataFrame, body: str = "body") -> DataFrame:
-    """One row per ``batch_id``: counts, running totals, rate and whether any event was CRITICAL.
-
-    The counts are stored before the running totals read them, so documents are parsed once.
-    """
-    return with_running_stats(stored(batch_counts(parse_documents(raw, body)), "batch-counts"))
+    """One row per ``batch_id``: counts, running totals, rate and whether any event was CRITICAL; documents are parsed once."""
+    return with_running_stats(batch_counts(parse_documents(raw, body)))

@@ -58,3 +58,9 @@ def test_a_stored_panel_reads_the_rows_once(spark, sf_dir):
     plan = executed_plan(driver.queries()["panel_severity_timeline_stored"](spark, sf_dir))
     final = plan[plan.index("Final Plan"):].split("Initial Plan")[0]
     assert final.count("FileScan parquet") == 1 and "Subquery" not in final
+
+
+def test_documents_are_parsed_once_for_their_statistics(spark, sf_dir):
+    plan = executed_plan(driver.queries()["ingest_stats"](spark, sf_dir))
+    final = plan[plan.index("Final Plan"):].split("Initial Plan")[0]
+    assert "ReusedExchange" in final and len(re.findall(r"FileScan parquet", final)) == 1
