@@ -263,3 +263,35 @@ def test_trees_are_kept_while_their_sample_stays(monkeypatch):
         wanted = keys[1600:] >= cut * MINUTE
         again = forest.score_after(keys[1600:], points[1600:], wanted, ("e", 0), held, **options)
         assert (again[wanted] == whole[1600:][wanted]).all()
+
+
+def test_the_new_helpers_travel_too(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from netvigil.operators import holding
+    from netvigil.streaming import state
+
+    sent = (
+        forest.score_chunk, forest.sampled_chunk, forest.samples_before, holding.stretch(["m"], 1, 2), holding.walk(["m"], 1),
+        holding.send(["m"], 2), state.grader(["x"], 1, 2, 1.0, 3, 2, 0.1),
+        state.past_scorer(["x"], 1, MINUTE, 1, 1.0, False, trees=2, sample=16, refresh=4, warmup=2),
+    )
+    (tmp_path / "functions").write_bytes(cloudpickle.dumps(sent))
+    code = """
+import pickle, sys
+import pandas as pd
+score, *_, grade, past = pickle.load(open('functions', 'rb'))
+class Kept:
+    exists, get = False, None
+    def update(self, value): self.exists, self.get = True, value
+rows = pd.DataFrame({'entity': ['e'] * 40, 'key': [60000 * i for i in range(40)], 'x': [float(i % 7) for i in range(40)]})
+made = pd.concat(list(past(('e',), [rows], Kept())))
+assert len(made) == 40 and made['anomaly_score'].notna().sum() == 36
+assert 'netvigil' not in sys.modules
+print('loaded')
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "loaded", done.stderr
