@@ -39,6 +39,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Ids of a sequence, of the longest packet; the id behind each document.
 LENGTH, PACKET, END = 4096, 512, 2
 VOCABULARY = "word_bpe_49k.json"
+#: What stands between chunks that are asked for together: a control character, which texts hardly hold.
+SIGN = "\x01"
 #: Chunks of text whose ids a task keeps; bytes of text that are split together.
 KNOWN, TOGETHER = 1 << 19, 1 << 22
 #: Ranges of rounds for each shuffle partition: with several, they are spread evenly.
@@ -62,15 +64,16 @@ class Encoder:
 
     The vocabulary splits at white space and drops it, so a chunk has the same ids in any text; a letter and the ASCII sign
     behind it are apart too, and A-Z are folded, which leaves fewer different chunks. New chunks are asked for in few calls,
-    with a special token between them. Texts that hold a special token, in whatever case, are encoded whole.
+    with a sign between them that has one id of its own. Texts that hold the sign, or a special token in whatever case, are
+    encoded whole.
     """
 
     def __init__(self, path: str):
         # One thread: a task has one core, and every further thread keeps memory of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.between, self.border = next(iter(self.special.items()))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] + [SIGN]
+        self.border, = self.tokenizer.encode(SIGN, add_special_tokens=False).ids
         self.kind = kind_of(self.tokenizer)
         self.forget()
 
@@ -81,7 +84,8 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         if not chunks:
             return
-        asked = [self.between.join(chunks[i:i + 500]) + self.between for i in range(0, len(chunks), 500)]
+        between = f" {SIGN} "
+        asked = [between.join(chunks[i:i + 500]) + between for i in range(0, len(chunks), 500)]
         got = self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)
         ids = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in got])
         ends = np.flatnonzero(ids == self.border)

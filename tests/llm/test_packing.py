@@ -155,7 +155,7 @@ def test_rounds_are_those_of_a_plain_deficit_round_robin():
 ODD = [
     "it's I'll don't 'S", "éa É.", "ΑΣ ΣΑΣ.", "a b c\x85d\x1cx", "x<|end", "  ", "", "İstanbul ǅ ß",
     "日本語。テスト", "a.b,c!!d--e_f", "12.5% 3rd", "🙂🙂a'sb 's", "́a b́. ́", "a\x00b", "A`b^c~d", "KK åÅ.",
-    "<|ENDOFTEXT|> B", "\x0ba\x0c", "<|startoftext|>",
+    "<|ENDOFTEXT|> B", "a\x01b \x01 c", "\x02 \x00", "\x0ba\x0c", "<|startoftext|>",
 ]
 
 
