@@ -92,6 +92,7 @@ def stream_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SMALL = replace(POLICY, rollover_docs=2500)
 PART_MS = 2 * HOUR
+ARRIVAL_DOCS = 50_000
 
 
 @register(
@@ -103,19 +104,21 @@ PART_MS = 2 * HOUR
 SELECT g AS generation, CAST(sum(ok) AS BIGINT) AS docs, sum(ok) >= {SMALL.rollover_docs} AS rollover FROM w GROUP BY g""",
 )
 def stream_rollover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generations of a day that arrives in pieces of two hours, and which of them file footers call full."""
-    arrivals = new_path(spark, "rollover-arrivals")
-    events = telemetry(spark, sf_dir)
-    raw = documents(events).select("body", "sent_ms", "event_id")
+    """Generations of a day that arrives in pieces of two hours, and which of them file footers call full.
+
+    A piece comes in files of bounded size, as many as it takes, and is one micro-batch: the ingest takes in all that has
+    arrived, ends, and goes on from its checkpoint when the next piece is there.
+    """
+    arrivals, root, refused, stats, checkpoint = (
+        new_path(spark, f"rollover-{part}") for part in ("arrivals", "events", "refused", "stats", "checkpoint")
+    )
+    raw = documents(telemetry(spark, sf_dir)).select("body", "sent_ms")
     for part in range(6):
         low, high = START_MS + part * PART_MS, START_MS + (part + 1) * PART_MS
-        some = raw.where((F.col("sent_ms") >= low) & (F.col("sent_ms") < high)).select("body", "sent_ms")
-        some.coalesce(1).write.mode("append").parquet(arrivals)
-    root, refused, stats, checkpoint = (
-        new_path(spark, f"rollover-{part}") for part in ("events", "refused", "stats", "checkpoint")
-    )
-    stream = spark.readStream.schema("body string, sent_ms bigint").option("maxFilesPerTrigger", 1).parquet(arrivals)
-    jobs.start_ingest(stream, root, refused, stats, checkpoint, once=True, policy=SMALL).awaitTermination()
+        some = raw.where((F.col("sent_ms") >= low) & (F.col("sent_ms") < high))
+        some.write.mode("append").option("maxRecordsPerFile", ARRIVAL_DOCS).parquet(arrivals)
+        stream = spark.readStream.schema("body string, sent_ms bigint").parquet(arrivals)
+        jobs.start_ingest(stream, root, refused, stats, checkpoint, once=True, policy=SMALL).awaitTermination()
     found = rollover_due(stored_inventory(spark, root, date.today(), generations=True), SMALL)
     return found.select(F.col("generation").cast("int").alias("generation"), "docs", "rollover")
 

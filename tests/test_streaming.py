@@ -314,3 +314,25 @@ def test_refits_without_arrivals(spark):
     finally:
         query.stop()
     assert made.groupBy("batch").count().where("count = 15").count() >= 2
+
+
+@pytest.mark.parametrize("files,docs", [(4, 50_000), (1, 500)], ids=["several files", "one file"])
+def test_a_piece_is_written_and_taken_in_by_several_tasks(spark, sf_dir, folder, monkeypatch, files, docs):
+    """Whether the table has several files or one, a piece is one micro-batch of several tasks, with the generations of the SQL."""
+    from oracle import compare, connect
+
+    from netvigil.registry import ORACLES, streams
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(files).write.parquet(f"{folder}/events.parquet")
+    made = {}
+    monkeypatch.setattr(streams, "new_path", lambda session, label: made.setdefault(label, new_path(session, label)))
+    monkeypatch.setattr(streams, "ARRIVAL_DOCS", docs, raising=False)
+    found = streams.stream_rollover(spark, folder)
+    assert compare(found, connect(sf_dir), ORACLES["stream_rollover"]) is None
+    assert spark.read.schema(ingest.LEDGER).parquet(made["rollover-stats"]).count() == 6
+    arrived = spark.read.parquet(made["rollover-arrivals"])
+    assert arrived.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= docs
+    assert len(arrived.inputFiles()) >= 6 * 4
+    # A task writes one file of accepted documents.
+    for batch in range(6):
+        assert len(list(Path(made["rollover-events"]).glob(f"*/*/*/batch={batch:012d}/*.parquet"))) >= 4
